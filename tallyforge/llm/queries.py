@@ -7,9 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyforge.llm.leaks import leaked_passages, without_leaks
 from tallyforge.llm.subjects import composition, subjects_of
 from tallyforge.llm.tokens import encode_corpus
+from tallyforge.llm.variants import spelling_groups, spelling_pairs
 from tallyforge.session import table
 
 
+def p7_groups(spark: SparkSession, d: str) -> DataFrame:
+    judges = table(spark, d, "judges").filter("not coalesce(anonymous, false)")
+    names = table(spark, d, "entries").select("name_raw").unionByName(judges.select("name_raw"))
+    return spelling_groups(names, table(spark, d, "nicknames"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_pairs(p7_groups(spark, d))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"))
 
@@ -40,7 +51,7 @@ def p10_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p8_ids, p9_found, p9_matches, p9_kept, p10_found, p10_subjects, p10_composition)}
+    return {f.__name__: f for f in (p7_found, p7_groups, p8_ids, p9_found, p9_matches, p9_kept, p10_found, p10_subjects, p10_composition)}
 
 
 def oracle_sql() -> dict:
