@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.packed import ValueCode, is_packed, learn_codes, shape
+from tallyforge.session import bounded_rows
 
 # Words that belong to the surname after them, suffixes, and letters without a decomposition.
 PARTICLES = frozenset("de la las los del della di da do dos du des le van der den ten ter von zu zum af av".split())
@@ -148,6 +149,7 @@ def _one_slip(a, b):
 
 
 MIN_SLIP = 4  # letters of the shortest word that may hold a slip
+MAX_NICKNAMES = 10_000
 MAX_BARE = 4  # letters of the longest short form without a dot
 
 
@@ -155,28 +157,45 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame) ->
     """(form, target, kind, a, b): forms of one person perhaps, with the two words they differ in.
 
     Kinds: short (a given name's first letters), nick (a pair of the nickname table), slip (one typing slip in one part),
-    half (one half of a double name). All joins are on whole keys: a part together with the first letter of the other, a
-    nickname's owner, the other with one letter left out, or a half. Both tables have x, y, hx, hy.
+    half (one half of a double name). Everything meets in one join on whole keys, each a part of the name together with
+    what the other part is known by: its first letter, a nickname's owner, itself with one letter left out, or a half.
+    Both tables have x, y, hx, hy. The nickname table belongs to a language and is small; more than MAX_NICKNAMES is an error.
     """
-    spell = lambda df: df.filter((F.col("y") != "") & (F.col("x") != "")).select(F.concat_ws("|", "x", "y").alias("form"), *FORM)
-    src, dst = spell(sources), spell(targets).filter(~_starred("x") & ~_starred("y"))
-    both_ways = lambda df: df.select("form", F.explode(F.array(F.struct(F.col("x").alias("word"), F.col("y").alias("other")), F.struct(F.col("y").alias("word"), F.col("x").alias("other")))).alias("s")).select("form", "s.word", "s.other")
-    s2, d2 = both_ways(src), both_ways(dst).withColumnsRenamed({"form": "target", "word": "t_word", "other": "t_other"})
-    plain = s2.filter(~_starred("word") & ~_starred("other"))
-    # Short forms, with a dot or without.
-    cut = s2.filter((_starred("word") | ((F.length("word") <= MAX_BARE) & ~_starred("other")))).withColumn("start", F.rtrim(F.col("word"), F.lit("*")))
-    key = lambda other, word: F.xxhash64(F.col(other), F.substring(F.col(word), 1, 1))
-    short = cut.withColumn("k", key("other", "start")).join(d2.withColumn("k", key("t_other", "t_word")), "k").filter((F.col("other") == F.col("t_other")) & F.col("t_word").startswith(F.col("start")) & (F.col("t_word") != F.col("word")))
-    # Nicknames. The table is small and fixed for a language, but no broadcast is asked for: AQE may choose one by size.
-    nick_of = nicknames.select(F.lower("nickname").alias("word"), F.lower("canonical").alias("t_word")).distinct()
-    nick = plain.join(nick_of, "word").join(d2, [F.col("other") == F.col("t_other"), nick_of["t_word"] == d2["t_word"]]).select("form", "target", "word", d2["t_word"])
-    # Slips.
-    keys = lambda df, word, other: df.filter(F.length(word) >= MIN_SLIP - 1).withColumn("k", F.explode(F.transform(_letters_left_out(F.col(word)), lambda w: F.xxhash64(F.col(other), w))))
-    slip = keys(plain, "word", "other").join(keys(d2, "t_word", "t_other"), "k").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.greatest(F.length("word"), F.length("t_word")) >= MIN_SLIP) & _one_slip(F.col("word"), F.col("t_word")))
-    # Halves of double names.
-    double = dst.select(F.col("form").alias("target"), F.explode(F.array(F.struct(F.col("hx").alias("h"), F.col("y").alias("t_other"), F.col("x").alias("t_word")), F.struct(F.col("hy").alias("h"), F.col("x").alias("t_other"), F.col("y").alias("t_word")))).alias("s")).select("target", "s.*").filter(F.col("h").isNotNull())
-    halves = double.withColumn("word", F.explode(F.split("h", "-"))).filter(F.length("word") > 2)
-    half = plain.join(halves, [plain["word"] == halves["word"], plain["other"] == halves["t_other"]]).select("form", "target", plain["word"], "t_word")
-    take = lambda df, kind: df.select("form", "target", F.lit(kind).alias("kind"), F.col("word").alias("a"), F.col("t_word").alias("b"))
-    out = take(short, "short").unionByName(take(nick, "nick")).unionByName(take(slip, "slip")).unionByName(take(half, "half"))
-    return out.filter(F.col("form") != F.col("target")).groupBy("form", "target", "a", "b").agg(F.min("kind").alias("kind")).select("form", "target", "kind", "a", "b")
+    owners: dict[str, list[str]] = {}
+    for r in bounded_rows(nicknames.select(F.lower("nickname"), F.lower("canonical")).filter("nickname is not null and canonical is not null").distinct(), MAX_NICKNAMES, "nicknames"):
+        owners.setdefault(r[0], []).append(r[1])
+    owner_of = F.create_map(*[c for k, v in sorted(owners.items()) for c in (F.lit(k), F.array(*[F.lit(x) for x in sorted(v)]))]) if owners else None
+    none = F.array().cast("array<string>")
+
+    def parts(df: DataFrame, name: str, word: str, other: str) -> DataFrame:
+        part = lambda w, o, h: F.struct(F.col(w).alias(word), F.col(o).alias(other), F.col(h).alias("h"))
+        both = df.filter((F.col("x") != "") & (F.col("y") != "")).select(F.concat_ws("|", "x", "y").alias(name), F.explode(F.array(part("x", "y", "hx"), part("y", "x", "hy"))).alias("p"))
+        return both.select(name, "p.*").filter(~_starred(other))
+
+    def keyed(df: DataFrame, other: str, pieces: dict) -> DataFrame:
+        tag = lambda kind: lambda piece: F.struct(F.lit(kind).alias("kind"), piece.alias("piece"))
+        known = F.array_distinct(F.concat(*[F.transform(v, tag(k)) for k, v in pieces.items()]))
+        return df.withColumn("k", F.explode(known)).withColumn("key", F.xxhash64("k.kind", other, "k.piece")).withColumn("kind", F.col("k.kind")).drop("k", "h")
+
+    only = lambda cond, value: F.when(cond, value).otherwise(none)
+    s, t = parts(sources, "form", "word", "other"), parts(targets, "target", "t_word", "t_other").filter(~_starred("t_word"))
+    full = ~_starred("word")
+    letter = lambda c: F.array(F.substring(c, 1, 1))
+    slips = lambda c: only(~_starred(c) & (F.length(c) >= MIN_SLIP - 1), _letters_left_out(F.col(c)))
+    src = keyed(s, "other", {
+        "short": only(_starred("word") | (F.length("word") <= MAX_BARE), letter("word")),
+        "nick": F.coalesce(F.try_element_at(owner_of, F.col("word")), none) if owner_of is not None else none,
+        "slip": slips("word"), "half": only(full & (F.length("word") > 2), F.array("word")),
+    })
+    dst = keyed(t, "t_other", {
+        "short": letter("t_word"), "nick": F.array("t_word"), "slip": slips("t_word"),
+        "half": F.coalesce(F.split("h", "-"), none),
+    }).withColumnRenamed("kind", "t_kind")
+    start = F.rtrim(F.col("word"), F.lit("*"))
+    fits = (
+        F.when(F.col("kind") == "short", F.col("t_word").startswith(start))
+        .when(F.col("kind") == "slip", (F.greatest(F.length("word"), F.length("t_word")) >= MIN_SLIP) & _one_slip(F.col("word"), F.col("t_word")))
+        .otherwise(True)
+    )
+    met = src.join(dst, "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
+    return met.groupBy("form", "target", F.col("word").alias("a"), F.col("t_word").alias("b")).agg(F.min("kind").alias("kind")).select("form", "target", "kind", "a", "b")
