@@ -26,10 +26,12 @@ WORD, SHORT, SUFFIX, REMARK, NUMBER, CONJ = "●", "○", "§", "□", "#", "∧
 MAX_WORDS = 5  # word counts beyond this share one state of the chain
 MAX_EXHAUSTIVE = 5  # fields with more distinct delimiters choose them greedily
 START, END = "^", "$"
+#: Bits of a step never or hardly seen.
+MAX_STEP_BITS = 12.0
 #: Bits of a value without any word: suffixes, remarks and numbers belong to the value beside them.
 WORDLESS_BITS = 12.0
 #: Bits of a delimiter left standing inside an unquoted value: a comma also parts surname and given name, the others hardly occur.
-INSIDE_BITS = {d: 8.0 for d in DELIMITERS} | {",": 6.0}
+INSIDE_BITS = {d: 8.0 for d in DELIMITERS} | {",": 1.0}
 
 _CANDIDATE = r"""[,;|/／&+\t\n"\[]|\s(?i:and|und|y|et)\s"""
 _ROUND = re.compile(r"\([^()]*\)")
@@ -172,7 +174,7 @@ class ValueCode:
         total = 0.0 if WORD in value or SHORT in value else WORDLESS_BITS
         for words, before, sign in steps_of(value):
             n = self.counts.get((words, before, sign), 0.0)
-            total -= math.log2((n + 0.02) / (self.totals.get((words, before), 0.0) + 2.0))
+            total += min(MAX_STEP_BITS, -math.log2((n + 0.02) / (self.totals.get((words, before), 0.0) + 2.0)))
         return total
 
     def cost(self, shape_text: str, dialect: tuple[frozenset[str], bool, bool]) -> float | None:
@@ -191,11 +193,14 @@ class ValueCode:
         return min(scored, key=lambda x: x[:3])[3]
 
 
+NO_CODE = ValueCode({})
+
+
 def _count_steps(pieces: Iterable[tuple[str, str, float]], code: dict[str, ValueCode] | None) -> dict:
-    """Chain steps of shapes by field: of the best parse under code; without one, of all parses by their prior weight."""
+    """Chain steps of shapes by field: of the best parse under code; without one, of all parses by the weight of their inner delimiters."""
     out: dict[tuple[str, int, str, str], float] = defaultdict(float)
     for field, text, n in pieces:
-        chosen = [code[field].best(text)] if code else dialects(text)
+        chosen = [code.get(field, NO_CODE).best(text)] if code else dialects(text)
         parsed = [(p, 2.0 ** -inside_bits(p, d)) for d in chosen if (p := parse(text, text, d, in_shape=True))]
         total = sum(w for _, w in parsed)
         for values, weight in parsed:
@@ -208,6 +213,8 @@ def _count_steps(pieces: Iterable[tuple[str, str, float]], code: dict[str, Value
 def learn_codes(long: DataFrame, rounds: int = 2) -> dict[str, ValueCode]:
     """Value codes per field from a table (field_name, text), over all its rows.
 
+    The first round counts every parse of a field, weighed by the delimiters it leaves inside values; the next ones count
+    its cheapest parse so far.
     Shapes are counted first, with partial sums before the shuffle; each round turns shape counts into chain counts in
     parallel. What reaches the driver is the chain: at most classes squared times MAX_WORDS rows a field, whatever the data.
     """
@@ -253,7 +260,7 @@ def _split_batches(codes: dict[str, ValueCode], keep: list[str]):
                 if key not in best:
                     if len(best) > 200_000:
                         best.clear()
-                    best[key] = codes[field].best(form) if field in codes else (frozenset(), False, False)
+                    best[key] = codes.get(field, NO_CODE).best(form)
                 dialect = best[key]
                 if not dialect[0]:
                     continue

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallyforge.plans import training
+from tallyforge.plans import aggregates, relational, textual, training
 
-MODULES = [training]
+MODULES = [training, relational, aggregates, textual]
 
 
 def queries() -> dict:
