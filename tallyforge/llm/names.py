@@ -150,14 +150,15 @@ def _one_slip(a, b):
 
 MIN_SLIP = 4  # letters of the shortest word that may hold a slip
 MAX_NICKNAMES = 10_000
-MAX_BARE = 4  # letters of the longest short form without a dot
+MAX_BARE = 5  # letters of the longest short form without a dot
 
 
-def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame) -> DataFrame:
+def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, both: bool = False) -> DataFrame:
     """(form, target, kind, a, b): forms of one person perhaps, with the two words they differ in.
 
-    Kinds: short (a given name's first letters), nick (a pair of the nickname table), slip (one typing slip in one part),
-    half (one half of a double name). Everything meets in one join on whole keys, each a part of the name together with
+    Kinds: short (a given name's first letters), nick (a name and its nickname, either way, or two nicknames of a name),
+    slip (one typing slip in one part), half (one half of a double name), and if `both`, long (the target is the short
+    form). Everything meets in one join on whole keys, each a part of the name together with
     what the other part is known by: its first letter, a nickname's owner, itself with one letter left out, or a half.
     Both tables have x, y, hx, hy. The nickname table belongs to a language and is small; more than MAX_NICKNAMES is an error.
     """
@@ -181,19 +182,22 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame) ->
     s, t = parts(sources, "form", "word", "other"), parts(targets, "target", "t_word", "t_other").filter(~_starred("t_word"))
     full = ~_starred("word")
     letter = lambda c: F.array(F.substring(c, 1, 1))
+    owners_and = lambda c: F.concat(F.array(c), F.coalesce(F.try_element_at(owner_of, F.col(c)), none)) if owner_of is not None else none
     slips = lambda c: only(~_starred(c) & (F.length(c) >= MIN_SLIP - 1), _letters_left_out(F.col(c)))
     src = keyed(s, "other", {
         "short": only(_starred("word") | (F.length("word") <= MAX_BARE), letter("word")),
-        "nick": F.coalesce(F.try_element_at(owner_of, F.col("word")), none) if owner_of is not None else none,
+        "nick": only(full, owners_and("word")), "long": only(full, letter("word")) if both else none,
         "slip": slips("word"), "half": only(full & (F.length("word") > 2), F.array("word")),
     })
     dst = keyed(t, "t_other", {
-        "short": letter("t_word"), "nick": F.array("t_word"), "slip": slips("t_word"),
+        "short": letter("t_word"), "nick": owners_and("t_word"), "slip": slips("t_word"),
+        "long": only(F.length("t_word") <= MAX_BARE, letter("t_word")) if both else none,
         "half": F.coalesce(F.split("h", "-"), none),
     }).withColumnRenamed("kind", "t_kind")
     start = F.rtrim(F.col("word"), F.lit("*"))
     fits = (
         F.when(F.col("kind") == "short", F.col("t_word").startswith(start))
+        .when(F.col("kind") == "long", F.col("word").startswith(F.col("t_word")))
         .when(F.col("kind") == "slip", (F.greatest(F.length("word"), F.length("t_word")) >= MIN_SLIP) & _one_slip(F.col("word"), F.col("t_word")))
         .otherwise(True)
     )

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm.leaks import leaked_passages, without_leaks
+from tallyforge.llm.linkage import link_entries
 from tallyforge.llm.subjects import composition, subjects_of
 from tallyforge.llm.tokens import encode_corpus
 from tallyforge.llm.variants import spelling_groups, spelling_pairs
 from tallyforge.session import table
 
 
+def p3_links(spark: SparkSession, d: str) -> DataFrame:
+    return link_entries(*[table(spark, d, t) for t in ("entries", "registry_placements", "dancers", "dance_events", "nicknames")])
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_links(spark, d).select("entry_id", "wsdc_id")
+
+
 def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     judges = table(spark, d, "judges").filter("not coalesce(anonymous, false)")
     names = table(spark, d, "entries").select("name_raw").unionByName(judges.select("name_raw"))
@@ -51,7 +60,7 @@ def p10_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p7_found, p7_groups, p8_ids, p9_found, p9_matches, p9_kept, p10_found, p10_subjects, p10_composition)}
+    return {f.__name__: f for f in (p3_found, p3_links, p7_found, p7_groups, p8_ids, p9_found, p9_matches, p9_kept, p10_found, p10_subjects, p10_composition)}
 
 
 def oracle_sql() -> dict:
