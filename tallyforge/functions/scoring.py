@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Printed callback marks, what they mean and what they count.
 MARKS = {
@@ -98,7 +99,7 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity of two columns, null where either is."""
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -57,7 +57,7 @@ def round_rollup(spark, d):
 
 
 @query(f"""
-SELECT placement_id, list_sum(list_transform(tally, x -> CAST(x AS BIGINT))) AS tally_sum, len(tally) AS n_judges, list_aggregate(tally, 'min') AS best_mark FROM {PLACEMENTS}
+SELECT placement_id, list_sum([CAST(x AS BIGINT) FOR x IN tally]) AS tally_sum, len(tally) AS n_judges, list_aggregate(tally, 'min') AS best_mark FROM {PLACEMENTS}
 """)
 def tally_lists(spark, d):
     """Sums over a placement's list of marks, without exploding it."""
@@ -264,7 +264,7 @@ def candidate_rank_gap(spark, d):
 
 
 @query(f"""
-WITH m AS (SELECT placement_id, round_id, list_sum(list_transform(tally, x -> CAST(x AS BIGINT))) AS score, place FROM {PLACEMENTS})
+WITH m AS (SELECT placement_id, round_id, list_sum([CAST(x AS BIGINT) FOR x IN tally]) AS score, place FROM {PLACEMENTS})
 SELECT placement_id, CASE WHEN score <= min(CASE WHEN place <= 3 THEN score END) OVER (PARTITION BY round_id) THEN 'advanced' ELSE 'cut' END AS outcome FROM m
 """)
 def promotion_cut(spark, d):

@@ -29,7 +29,7 @@ def text_series_slug(spark, d):
 
 @query(f"""
 WITH w AS (SELECT DISTINCT first_name || ' ' || last_name AS name FROM dancers WHERE first_name IS NOT NULL AND last_name IS NOT NULL),
-s AS (SELECT name, list_filter(string_split(regexp_replace({_PLAIN.format(c='name')}, '[^a-z0-9]+', ' ', 'g'), ' '), x -> x <> '') AS t FROM w)
+s AS (SELECT name, [x FOR x IN string_split(regexp_replace({_PLAIN.format(c='name')}, '[^a-z0-9]+', ' ', 'g'), ' ') IF x <> ''] AS t FROM w)
 SELECT name, array_to_string(CASE WHEN len(t) > 0 AND t[-1] IN ('jr', 'sr', 'ii', 'iii') THEN t[1:len(t) - 1] ELSE t END, ' ') AS norm FROM s
 """)
 def text_name_norm(spark, d):
@@ -39,8 +39,8 @@ def text_name_norm(spark, d):
 
 
 @query(r"""
-WITH p AS (SELECT DISTINCT name_raw, list_transform(regexp_split_to_array(name_raw, '(?i)\s+and\s+|\s*[&/]\s*'), x -> trim(x)) AS t FROM entries WHERE name_raw IS NOT NULL)
-SELECT name_raw, CASE WHEN len(t) > 1 AND len(list_filter(t, x -> x = '')) = 0 THEN len(t) ELSE 0 END AS n_people FROM p
+WITH p AS (SELECT DISTINCT name_raw, [trim(x) FOR x IN regexp_split_to_array(name_raw, '(?i)\s+and\s+|\s*[&/]\s*')] AS t FROM entries WHERE name_raw IS NOT NULL)
+SELECT name_raw, CASE WHEN len(t) > 1 AND len([x FOR x IN t IF x = '']) = 0 THEN len(t) ELSE 0 END AS n_people FROM p
 """)
 def text_paired(spark, d):
     """How many people a cell joins by and, & or /."""
