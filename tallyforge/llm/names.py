@@ -201,5 +201,6 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, bot
         .when(F.col("kind") == "slip", (F.greatest(F.length("word"), F.length("t_word")) >= MIN_SLIP) & _one_slip(F.col("word"), F.col("t_word")))
         .otherwise(True)
     )
-    met = src.join(dst, "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
+    # Without the hint a table that is small on disk would be broadcast with all its keys, many times its size.
+    met = src.join(dst.hint("merge"), "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
     return met.groupBy("form", "target", F.col("word").alias("a"), F.col("t_word").alias("b")).agg(F.min("kind").alias("kind")).select("form", "target", "kind", "a", "b")
