@@ -189,11 +189,11 @@ def division_fit(spark, d):
 
 
 @query(f"""
-SELECT DISTINCT a.wsdc_id AS a, b.wsdc_id AS b, jaro_winkler_similarity(lower(a.first_name), lower(b.first_name)) AS similarity FROM {DANCERS} a JOIN {DANCERS} b ON a.last_name = b.last_name AND a.wsdc_id < b.wsdc_id AND substr(a.first_name, 1, 1) = substr(b.first_name, 1, 1)
+SELECT DISTINCT a.wsdc_id AS a, b.wsdc_id AS b, jaro_winkler_similarity({_PLAIN.format(c='a.first_name')}, {_PLAIN.format(c='b.first_name')}) AS similarity FROM {DANCERS} a JOIN {DANCERS} b ON a.last_name = b.last_name AND a.wsdc_id < b.wsdc_id AND substr(a.first_name, 1, 1) = substr(b.first_name, 1, 1)
 """)
 def similar_namesakes(spark, d):
     """Jaro-Winkler similarity of namesakes within a block of surname and initial."""
-    w = _once(spark, d, "dancers", "wsdc_id").select("wsdc_id", F.lower("first_name").alias("f"), "last_name", F.substring("first_name", 1, 1).alias("i"))
+    w = _once(spark, d, "dancers", "wsdc_id").select("wsdc_id", text.plain(F.col("first_name")).alias("f"), "last_name", F.substring("first_name", 1, 1).alias("i"))
     j = w.select(F.col("wsdc_id").alias("a"), F.col("f").alias("fa"), "last_name", "i").join(w.select(F.col("wsdc_id").alias("b"), F.col("f").alias("fb"), "last_name", "i"), ["last_name", "i"]).filter("a < b")
     return j.select("a", "b", scoring.name_similarity(F.col("fa"), F.col("fb")).alias("similarity")).distinct()
 
