@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallyforge.plans import aggregates, relational, textual, training
+from tallyforge.plans import aggregates, quality, relational, resolution, scans, textual, training
 
-MODULES = [training, relational, aggregates, textual]
+MODULES = [training, relational, aggregates, textual, quality, resolution, scans]
 
 
 def queries() -> dict:
