@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 REGISTERS = 128  # registers of a path's value sketch
+MAX_DEPTH = 200  # nesting from which a line counts as unreadable
 MIN_SCORE = 0.5  # least score of a rename
 # JSON type names by bit.
 TYPES = ["string", "number", "boolean", "array", "object"]
@@ -52,10 +53,24 @@ def fields_of(obj: dict, prefix: str = ""):
                 stack.append((path, v))
 
 
+def _depth(body: str) -> int:
+    """The greatest nesting of brackets, at most that of the JSON."""
+    deep = most = 0
+    for c in body:
+        if c in "{[":
+            deep += 1
+            most = max(most, deep)
+        elif c in "}]":
+            deep -= 1
+    return most
+
+
 def readable(body: str | None) -> dict | None:
     """The object of a line, or None for null, blank, broken or other lines."""
     if not body or not body.strip():
         return None
+    if body.count("{") + body.count("[") > MAX_DEPTH and _depth(body) > MAX_DEPTH:
+        return None
     try:
         obj = json.loads(body)
     except (ValueError, RecursionError):

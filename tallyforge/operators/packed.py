@@ -51,10 +51,10 @@ def shape(text: Column) -> Column:
         (r'(?<=.)\[[^\[\]",;|/&+]+\]', REMARK),
         (r"(?i)(?<=\s)(?:and|und|y|et)(?=\s)", CONJ),
         (r"(?<![\p{L}\p{M}])(?:Jr|Sr|JR|SR|II|III|IV)(?![\p{L}\p{M}])\.?", SUFFIX),
-        (r"[\p{L}\p{M}'’-]+[.…]", SHORT),
+        (r"(?<![\p{L}\p{M}'’-])[\p{L}\p{M}'’-]++[.…]", SHORT),
         (r"(?<![\p{L}\p{M}'’-])\p{L}\p{M}*(?![\p{L}\p{M}'’-])", SHORT),
-        (r"[\p{L}\p{M}][\p{L}\p{M}'’-]*", WORD),
-        (r"\p{N}+", NUMBER),
+        (r"[\p{L}\p{M}][\p{L}\p{M}'’-]*+", WORD),
+        (r"\p{N}++", NUMBER),
         (r"[  ]+", " "),
     ]
     for pattern, sign in steps:
