@@ -28,6 +28,7 @@ MIN_SPAN, MIN_MATCHED = 18, 14  # words of the item that the pieces span and tha
 MIN_PIECE = 7  # matched words of the shorter of two pieces
 EDIT = 2.5  # cost of a changed word in matched words: keeps runs whose edits are at most about one word in six
 MAX_EDITS = 0.21
+CHUNK = 4_000  # words of a document aligned at once
 
 # Letters of other scripts that look like Latin ones, and Latin letters without a decomposition.
 LOOKALIKES = {
@@ -167,14 +168,42 @@ def best_run(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, int, int
     return matched, edits, int(i), i1, int(j), j1
 
 
+def around(a: np.ndarray, places: np.ndarray, m: int) -> np.ndarray:
+    """The words of a document near matched places, 2 * m either way, with a break of unknown words between apart stretches."""
+    if len(a) <= CHUNK // 4:
+        return a
+    near = np.zeros(len(a) + 1, dtype=np.int64)
+    np.add.at(near, np.maximum(places - 2 * m, 0), 1)
+    np.add.at(near, np.minimum(places + 2 * m, len(a)), -1)
+    kept = np.cumsum(near[:-1]) > 0
+    at = np.flatnonzero(kept)
+    parts = np.split(a[at], np.flatnonzero(np.diff(at) > 1) + 1)
+    return np.concatenate([np.append(p, np.zeros(8, dtype=a.dtype)) for p in parts]) if len(at) else a[:0]
+
+
+def _runs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
+    """The best run of each overlapping chunk of a document, so that the alignment's table stays small."""
+    step = CHUNK - 4 * len(b) if CHUNK > 8 * len(b) else CHUNK
+    out = []
+    for at in range(0, max(1, len(a)), step):
+        m, e, i0, i1, j0, j1 = best_run(a[at : at + CHUNK], b)
+        out.append((m, e, i0 + at, i1 + at, j0, j1))
+        if at + CHUNK >= len(a):
+            break
+    return out
+
+
 def judge(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int] | None:
     """(span, matched, edits, pieces) of an item's passage b in a document a, or None where too little of it is there."""
-    matched, edits, i0, i1, j0, j1 = best_run(a, b)
+    worth = lambda r: r[0] - EDIT * r[1]
+    runs = _runs(a, b)
+    matched, edits, i0, i1, j0, j1 = first = max(runs, key=worth)
     span, pieces = j1 - j0, 1
-    if matched >= MIN_PIECE:
-        after, before = best_run(a[i1:], b[j1:]), best_run(a[:i0], b[:j0])
-        other = max(after, before, key=lambda r: r[0] - EDIT * r[1])
-        if other[0] >= MIN_PIECE and (span < MIN_SPAN or matched < MIN_MATCHED):
+    if matched >= MIN_PIECE and (span < MIN_SPAN or matched < MIN_MATCHED):
+        others = [r for r in runs if r is not first and ((r[2] >= i1 and r[4] >= j1) or (r[3] <= i0 and r[5] <= j0))]
+        others += _runs(a[i1:][:CHUNK], b[j1:]) + _runs(a[:i0][-CHUNK:], b[:j0])
+        other = max(others, key=worth)
+        if other[0] >= MIN_PIECE:
             matched, edits, span, pieces = matched + other[0], edits + other[1], span + other[5] - other[4], 2
     if span >= MIN_SPAN and matched >= MIN_MATCHED and edits <= MAX_EDITS * (matched + edits):
         return span, matched, edits, pieces
@@ -192,7 +221,8 @@ def _search(index: TestIndex, id_column: str, min_cover: int = MIN_COVER, verdic
                     continue
                 ids = np.concatenate([np.append(t, 0) for t in texts])
                 doc_of = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-                doc, item, _, t, length = verbatim(index, ids, doc_of)
+                starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+                doc, item, c, _, length = verbatim(index, ids, doc_of)
                 out, keys = [], shard[id_column].tolist()
                 if len(doc):
                     pair = doc * len(index.items) + item
@@ -202,7 +232,8 @@ def _search(index: TestIndex, id_column: str, min_cover: int = MIN_COVER, verdic
                         if length[s:e].sum() < min_cover:
                             continue
                         k = int(item[s])
-                        found = verdict(texts[int(doc[s])], index.words[k])
+                        n = int(doc[s])
+                        found = verdict(around(texts[n], c[s:e] - starts[n], len(index.words[k])), index.words[k])
                         if found:
                             out.append((keys[int(doc[s])], index.items[k][0], int(length[s:e].max()), *found))
                 yield pd.DataFrame(out, columns=[id_column, "item_id", "longest", "span", "matched", "edits", "pieces"])

@@ -136,9 +136,16 @@ def _starred(c):
 
 
 def _letters_left_out(c):
-    """A word and the words that lack one of its letters."""
+    """Keys one of which two words share if one slip parts them: the word and the words that lack one of its letters.
+
+    Words beyond LONG_WORD letters give their first and last letters instead, of which one slip leaves either whole; words
+    near that length give both, since a slip may take them across it.
+    """
     n = F.length(c)
-    return F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, n)))))
+    none = F.array().cast("array<string>")
+    left_out = F.concat(F.array(c), F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, n))))
+    ends = F.array(F.concat(F.lit("<"), F.substring(c, 1, LONG_WORD // 3)), F.concat(F.lit(">"), F.substring(c, -(LONG_WORD // 3), LONG_WORD // 3)))
+    return F.array_distinct(F.concat(F.when(n <= LONG_WORD + 1, left_out).otherwise(none), F.when(n >= LONG_WORD - 1, ends).otherwise(none)))
 
 
 def _one_slip(a, b):
@@ -150,15 +157,15 @@ def _one_slip(a, b):
 
 MIN_SLIP = 4  # letters of the shortest word that may hold a slip
 MAX_NICKNAMES = 10_000
+LONG_WORD = 60  # letters from which a word's slips are looked up by its ends
 MAX_BARE = 5  # letters of the longest short form without a dot
 
 
 def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, both: bool = False) -> DataFrame:
     """(form, target, kind, a, b): forms of one person perhaps, with the two words they differ in.
 
-    Kinds: short (a given name's first letters), nick (a name and its nickname, either way, or two nicknames of a name),
-    slip (one typing slip in one part), half (one half of a double name), and if `both`, long (the target is the short
-    form). Everything meets in one join on whole keys, each a part of the name together with
+    Kinds: short (a given name's first letters), nick (a nickname and its owner), slip (one typing slip in one part), half
+    (one half of a double name); if `both`, also long (the target is the short form) and nick either way. Everything meets in one join on whole keys, each a part of the name together with
     what the other part is known by: its first letter, a nickname's owner, itself with one letter left out, or a half.
     Both tables have x, y, hx, hy. The nickname table belongs to a language and is small; more than MAX_NICKNAMES is an error.
     """
@@ -182,15 +189,16 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, bot
     s, t = parts(sources, "form", "word", "other"), parts(targets, "target", "t_word", "t_other").filter(~_starred("t_word"))
     full = ~_starred("word")
     letter = lambda c: F.array(F.substring(c, 1, 1))
-    owners_and = lambda c: F.concat(F.array(c), F.coalesce(F.try_element_at(owner_of, F.col(c)), none)) if owner_of is not None else none
+    owners = lambda c: F.coalesce(F.try_element_at(owner_of, F.col(c)), none) if owner_of is not None else none
+    itself_and = lambda c, more: F.concat(F.array(c), more) if both else more
     slips = lambda c: only(~_starred(c) & (F.length(c) >= MIN_SLIP - 1), _letters_left_out(F.col(c)))
     src = keyed(s, "other", {
         "short": only(_starred("word") | (F.length("word") <= MAX_BARE), letter("word")),
-        "nick": only(full, owners_and("word")), "long": only(full, letter("word")) if both else none,
+        "nick": only(full, itself_and("word", owners("word"))), "long": only(full, letter("word")) if both else none,
         "slip": slips("word"), "half": only(full & (F.length("word") > 2), F.array("word")),
     })
     dst = keyed(t, "t_other", {
-        "short": letter("t_word"), "nick": owners_and("t_word"), "slip": slips("t_word"),
+        "short": letter("t_word"), "nick": F.concat(F.array("t_word"), owners("t_word")) if both else F.array("t_word"), "slip": slips("t_word"),
         "long": only(F.length("t_word") <= MAX_BARE, letter("t_word")) if both else none,
         "half": F.coalesce(F.split("h", "-"), none),
     }).withColumnRenamed("kind", "t_kind")
