@@ -121,7 +121,7 @@ def replace_scope(stored: DataFrame, proposed: DataFrame, scope: Sequence[str],
     rest = stored.join(touched, list(scope), "left_anti")
     before = stored.groupBy(*keys).agg(F.min(first_seen).alias("_first"))
     kept = proposed.join(before, list(keys), "left").withColumn(first_seen, F.coalesce(F.least(F.col("_first"), F.col(first_seen)), F.col(first_seen))).drop("_first")
-    return rest.unionByName(kept.select(*rest.columns))
+    return rest.unionByName(kept.select(*rest.columns)).select(*stored.columns)
 
 
 def upsert(stored: DataFrame, changes: DataFrame, keys: Sequence[str], owner: Sequence[str]) -> DataFrame:
