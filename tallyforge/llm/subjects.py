@@ -261,7 +261,7 @@ def _label(model: Model, id_column: str):
         for pdf in batches:
             w, s, d = model.encode(pdf["text"])
             n = len(pdf)
-            if not len(d):
+            if not len(d) or not len(subjects):
                 continue
             post = model.posterior(w, s, len(d))[:, :-OTHERS]
             calibrated = 1 / (1 + np.exp(-(model.slope * third_best(post, d, n) + model.shift)))
