@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.session import cut
+
 REGISTERS = 128  # registers of a path's value sketch
 MAX_DEPTH = 200  # nesting from which a line counts as unreadable
 MIN_SCORE = 0.5  # least score of a rename
@@ -198,7 +200,7 @@ def schema_changes(df: DataFrame, step_field: str = "step") -> DataFrame:
     readable line has no fields. The first file of a family gives no row. Repeated lines change nothing. Groups of the
     matching step hold the gone and new paths of one file, whose number is a schema's width and not a row count.
     """
-    profiles = file_profiles(df, step_field).persist()
+    profiles = cut(file_profiles(df, step_field), "profiles")
     order = file_order(df)
     now = profiles.join(order.filter("prev_file is not null").select("family", "file_name"), ["family", "file_name"])
     after = order.filter("prev_file is not null").select("family", F.col("file_name").alias("next_file"), F.col("prev_file").alias("file_name"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallyforge.plans import aggregates, incremental, quality, relational, resolution, scans, textual, training
+from tallyforge.plans import aggregates, incremental, quality, relational, release, resolution, scans, textual, training
 
-MODULES = [training, relational, aggregates, textual, quality, resolution, scans, incremental]
+MODULES = [training, relational, aggregates, textual, quality, resolution, scans, incremental, release]
 
 
 def queries() -> dict:
