@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.session import bounded_rows
 
-MAX_LABELLED = 50_000  # labelled documents the model starts from, chosen by a hash of their id
+MAX_LABELLED = 15_000  # labelled documents the model starts from, chosen by a hash of their id
 MAX_WORDS = 20_000  # words of the model, by the number of labelled documents that hold them
 MAX_SUBJECTS = 256
 MIN_WORD_DOCS = 3
