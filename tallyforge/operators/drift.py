@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,24 +82,30 @@ def readable(body: str | None) -> dict | None:
 
 
 def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+    """A signed 64-bit hash, the same on every machine."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def _profile_lines(step_field: str):
+    names = ["family", "file_name", "path", "bit", "register", "step_hash", "value_hash"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+
     def run(batches):
-        for pdf in batches:
-            out = []
-            for family, file, at, body in zip(pdf.family, pdf.file_name, pdf.rec, pdf.body):
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for family, file, body in zip(*(batch.column(c).to_pylist() for c in ("family", "file_name", "body"))):
                 obj = readable(body)
                 if obj is None:
                     continue
                 step = obj.get(step_field)
                 known = step is not None
                 sh = _hash(canonical(step)) if known else 0
+                register = sh % REGISTERS
                 for path, v in fields_of(obj):
                     bit = type_bit(v)
-                    out.append((family, file, at, path, bit, (sh % REGISTERS) if known and bit else -1, sh, _hash(canonical(v)) if bit else 0))
-            yield pd.DataFrame(out, columns=["family", "file_name", "rec", "path", "bit", "register", "step_hash", "value_hash"])
+                    for column, x in zip(out, (family, file, path, bit, register if known and bit else -1, sh, _hash(canonical(v)) if bit else 0)):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     return run
 
@@ -109,8 +116,8 @@ def file_profiles(df: DataFrame, step_field: str = "step") -> DataFrame:
     A sketch has REGISTERS registers by step hash, each with the least step hash and that step's value hash; two sketches
     tell on how many common steps two paths agree. Registers are minima, so partial sums bound what is shuffled.
     """
-    lines = df.select("family", "file_name", F.col("recorded_at").cast("timestamp").alias("rec"), "body").filter(F.col("file_name").isNotNull())
-    cells = lines.mapInPandas(_profile_lines(step_field), "family string, file_name string, rec timestamp, path string, bit int, register int, step_hash long, value_hash long")
+    lines = df.select("family", "file_name", "body").filter(F.col("file_name").isNotNull())
+    cells = lines.mapInArrow(_profile_lines(step_field), "family string, file_name string, path string, bit int, register int, step_hash long, value_hash long")
     registers = cells.groupBy("family", "file_name", "path", "register").agg(F.bit_or("bit").alias("bits"), F.min(F.struct("step_hash", "value_hash")).alias("m"))
     entry = F.when(F.col("register") >= 0, F.struct("register", F.col("m.step_hash").alias("step_hash"), F.col("m.value_hash").alias("value_hash")))
     return registers.groupBy("family", "file_name", "path").agg(F.bit_or("bits").alias("types"), F.sort_array(F.collect_list(entry)).alias("sketch"))
