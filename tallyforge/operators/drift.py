@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.session import cut
 
-REGISTERS = 128  # registers of a path's value sketch
+REGISTERS = 1024  # registers of a path's value sketch
 MAX_DEPTH = 200  # nesting from which a line counts as unreadable
 MIN_SCORE = 0.5  # least score of a rename
 # JSON type names by bit.
@@ -216,7 +216,9 @@ def schema_changes(df: DataFrame, step_field: str = "step") -> DataFrame:
     side = F.when(F.col("types").isNull(), "removed").when(F.col("old_types").isNull(), "added").otherwise("retyped")
     changed = pairs.select("family", "file_name", "path", side.alias("side"), F.coalesce("types", "old_types").alias("types"), F.coalesce("sketch", "old_sketch").alias("sketch"))
     moved = changed.filter("side <> 'retyped'")
-    renames = moved.groupBy("family", "file_name").applyInPandas(_match_paths, "family string, file_name string, old_path string, new_path string, score double, old_types int, new_types int")
+    # Only files that both lost and gained a path can hold a rename.
+    both = moved.groupBy("family", "file_name").agg(F.countDistinct("side").alias("sides")).filter("sides = 2").select("family", "file_name")
+    renames = moved.join(both, ["family", "file_name"], "left_semi").groupBy("family", "file_name").applyInPandas(_match_paths, "family string, file_name string, old_path string, new_path string, score double, old_types int, new_types int")
     row = lambda path, kind, new, score: F.struct(path.alias("field_path"), F.lit(kind).alias("change_kind"), new.alias("new_path"), score.alias("score"))
     none = F.lit(None).cast("double")
     renamed = renames.select("family", "file_name", F.explode(F.filter(F.array(

@@ -11,9 +11,11 @@ from tallyforge.session import cut
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the one with the greatest order, which must be total for a fixed result. Partial maxima meet skew."""
-    row = F.struct(*[c for c in df.columns])
-    return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_r")).select("_r.*")
+    """One row per key: the one with the greatest order, which must be total for a fixed result.
+
+    A rank limited to one is filtered before the shuffle as well as after it, and columns nobody asks for are never read.
+    """
+    return top_k(df, keys, [c.desc_nulls_last() for c in order], 1, "_rank").drop("_rank")
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
