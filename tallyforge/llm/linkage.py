@@ -15,7 +15,7 @@ sums by record and by group, so it runs on all executors; values are the links'
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.clean import folded
@@ -24,7 +24,7 @@ from tallyforge.session import cut
 
 W_SIMILAR, W_PRIOR, W_EXCLUSIVE, W_SAME = 1.0, 0.25, 2.0, 0.1
 RHO = 1.0  # step of the multipliers
-STEPS, BLOCKS = 4, 3  # steps between two written tables, and how many such blocks
+STEPS, BLOCKS = 2, 6  # steps between two written tables, and how many such blocks
 ACCEPT = 0.5  # least confidence of a match
 # Similarity by the kind of agreement of two names.
 SIMILARITY = {"exact": 1.0, "slip": 0.85, "nick": 0.85, "short": 0.75, "long": 0.75, "half": 0.8}
@@ -37,18 +37,13 @@ def solve(links: DataFrame) -> DataFrame:
     s is the similarity in [0, 1]; one row per record and entity. Links that no exclusivity touches have their minimum in
     closed form; the others go through the alternating steps. The spelling's mean value joins every block from all links.
     """
-    links = cut(
-        links.withColumns({
-            "n_record": F.count("*").over(Window.partitionBy("record")),
-            "n_claims": F.count("*").over(Window.partitionBy("contest", "entity")),
-        }),
-        "links",
-    )
+    links = links.select("record", "entity", "contest", "spelling", "s")
+    links = cut(_with(_with(links, ["record"], F.count("*").alias("n_record")), ["contest", "entity"], F.count("*").alias("n_claims")), "links")
     free = W_SIMILAR * F.col("s") / (W_SIMILAR + W_PRIOR)
     bound = (F.col("n_record") > 1) | (F.col("n_claims") > 1)
     settled = links.filter(~bound).select("record", "entity", "spelling", free.alias("x"))
     zero = F.lit(0.0)
-    state = links.filter(bound).select("record", "entity", "contest", "spelling", "s", free.alias("x"), zero.alias("u0"), zero.alias("u1"), zero.alias("u2"), zero.alias("u3"))
+    state = links.filter(bound).select("record", "entity", "contest", "spelling", "s", "n_record", "n_claims", free.alias("x"), zero.alias("u0"), zero.alias("u1"), zero.alias("u2"), zero.alias("u3"))
     for _ in range(BLOCKS):
         mean = settled.select("spelling", "entity", "x").unionByName(state.select("spelling", "entity", "x")).groupBy("spelling", "entity").agg(F.avg("x").alias("z"))
         state = state.drop("z").join(mean, ["spelling", "entity"])
@@ -58,6 +53,11 @@ def solve(links: DataFrame) -> DataFrame:
     return settled.select("record", "entity", F.col("x").alias("confidence")).unionByName(state.select("record", "entity", F.col("x").alias("confidence")))
 
 
+def _with(df: DataFrame, keys: list[str], *aggregates) -> DataFrame:
+    """df with aggregates of its groups: partial sums and a join, which AQE may split, so that no group has to fit one task."""
+    return df.join(df.groupBy(*keys).agg(*aggregates), keys)
+
+
 def _step(state: DataFrame) -> DataFrame:
     """One round: every rule moves its copy, the copies are averaged, the multipliers follow."""
     v = [F.col("x") - F.col(f"u{k}") for k in range(4)]
@@ -66,18 +66,16 @@ def _step(state: DataFrame) -> DataFrame:
     above = RHO * v[0] / (2 * W_PRIOR + RHO)
     y0 = F.when(below < F.col("s"), below).otherwise(F.greatest(above, F.col("s")))
 
-    def exclusive(value, *keys):
+    def exclusive(value, total, n):
         """min w max(0, sum y - 1) + rho/2 |y - v|^2: all members give up the same share of the excess."""
-        w = Window.partitionBy(*keys)
-        excess = (F.sum(value).over(w) - 1) / F.count("*").over(w)
-        return value - F.least(F.greatest(excess, F.lit(0.0)), F.lit(W_EXCLUSIVE / RHO))
+        return value - F.least(F.greatest((F.col(total) - 1) / F.col(n), F.lit(0.0)), F.lit(W_EXCLUSIVE / RHO))
 
-    y1, y2 = exclusive(v[1], "record"), exclusive(v[2], "contest", "entity")
     y3 = (2 * W_SAME * F.col("z") + RHO * v[3]) / (2 * W_SAME + RHO)
-    moved = state.withColumns({"y0": y0, "y3": y3}).withColumn("y1", y1).withColumn("y2", y2)
+    summed = _with(_with(state, ["record"], F.sum(v[1]).alias("t1")), ["contest", "entity"], F.sum(v[2]).alias("t2"))
+    moved = summed.withColumns({"y0": y0, "y1": exclusive(v[1], "t1", "n_record"), "y2": exclusive(v[2], "t2", "n_claims"), "y3": y3})
     x = F.least(F.greatest(sum(F.col(f"y{k}") + F.col(f"u{k}") for k in range(4)) / 4, F.lit(0.0)), F.lit(1.0))
     moved = moved.withColumn("x", x)
-    return moved.withColumns({f"u{k}": F.col(f"u{k}") + F.col(f"y{k}") - F.col("x") for k in range(4)}).drop("y0", "y1", "y2", "y3")
+    return moved.withColumns({f"u{k}": F.col(f"u{k}") + F.col(f"y{k}") - F.col("x") for k in range(4)}).drop("y0", "y1", "y2", "y3", "t1", "t2")
 
 
 def _dancer_forms(batches):
