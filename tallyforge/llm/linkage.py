@@ -15,7 +15,7 @@ sums by record and by group, so it runs on all executors; values are the links'
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.clean import folded
@@ -24,7 +24,7 @@ from tallyforge.session import cut
 
 W_SIMILAR, W_PRIOR, W_EXCLUSIVE, W_SAME = 1.0, 0.25, 2.0, 0.1
 RHO = 1.0  # step of the multipliers
-STEPS, BLOCKS = 2, 6  # steps between two written tables, and how many such blocks
+STEPS, BLOCKS = 4, 3  # steps between two written tables, and how many such blocks
 ACCEPT = 0.5  # least confidence of a match
 # Similarity by the kind of agreement of two names.
 SIMILARITY = {"exact": 1.0, "slip": 0.85, "nick": 0.85, "short": 0.75, "long": 0.75, "half": 0.8}
@@ -59,23 +59,27 @@ def _with(df: DataFrame, keys: list[str], *aggregates) -> DataFrame:
 
 
 def _step(state: DataFrame) -> DataFrame:
-    """One round: every rule moves its copy, the copies are averaged, the multipliers follow."""
+    """One round: every rule moves its copy, the copies are averaged, the multipliers follow.
+
+    Sums of groups are windows here, over contested links only: joins instead took more driver memory for their plans than
+    the steps are worth. A window streams its group and spills it.
+    """
     v = [F.col("x") - F.col(f"u{k}") for k in range(4)]
     # Similarity and prior share one copy: min w1 max(0, s - y)^2 + w0 y^2 + rho/2 (y - v)^2.
     below = (2 * W_SIMILAR * F.col("s") + RHO * v[0]) / (2 * W_SIMILAR + 2 * W_PRIOR + RHO)
     above = RHO * v[0] / (2 * W_PRIOR + RHO)
     y0 = F.when(below < F.col("s"), below).otherwise(F.greatest(above, F.col("s")))
 
-    def exclusive(value, total, n):
+    def exclusive(value, n, *keys):
         """min w max(0, sum y - 1) + rho/2 |y - v|^2: all members give up the same share of the excess."""
-        return value - F.least(F.greatest((F.col(total) - 1) / F.col(n), F.lit(0.0)), F.lit(W_EXCLUSIVE / RHO))
+        total = F.sum(value).over(Window.partitionBy(*keys))
+        return value - F.least(F.greatest((total - 1) / F.col(n), F.lit(0.0)), F.lit(W_EXCLUSIVE / RHO))
 
     y3 = (2 * W_SAME * F.col("z") + RHO * v[3]) / (2 * W_SAME + RHO)
-    summed = _with(_with(state, ["record"], F.sum(v[1]).alias("t1")), ["contest", "entity"], F.sum(v[2]).alias("t2"))
-    moved = summed.withColumns({"y0": y0, "y1": exclusive(v[1], "t1", "n_record"), "y2": exclusive(v[2], "t2", "n_claims"), "y3": y3})
+    moved = state.withColumns({"y0": y0, "y3": y3}).withColumn("y1", exclusive(v[1], "n_record", "record")).withColumn("y2", exclusive(v[2], "n_claims", "contest", "entity"))
     x = F.least(F.greatest(sum(F.col(f"y{k}") + F.col(f"u{k}") for k in range(4)) / 4, F.lit(0.0)), F.lit(1.0))
     moved = moved.withColumn("x", x)
-    return moved.withColumns({f"u{k}": F.col(f"u{k}") + F.col(f"y{k}") - F.col("x") for k in range(4)}).drop("y0", "y1", "y2", "y3", "t1", "t2")
+    return moved.withColumns({f"u{k}": F.col(f"u{k}") + F.col(f"y{k}") - F.col("x") for k in range(4)}).drop("y0", "y1", "y2", "y3")
 
 
 def _dancer_forms(batches):
