@@ -214,11 +214,11 @@ def schema_changes(df: DataFrame, step_field: str = "step") -> DataFrame:
     before = profiles.join(after, ["family", "file_name"]).select("family", F.col("next_file").alias("file_name"), "path", F.col("types").alias("old_types"), F.col("sketch").alias("old_sketch"))
     pairs = before.join(now, ["family", "file_name", "path"], "full_outer").filter(~F.col("types").eqNullSafe(F.col("old_types")))
     side = F.when(F.col("types").isNull(), "removed").when(F.col("old_types").isNull(), "added").otherwise("retyped")
-    changed = pairs.select("family", "file_name", "path", side.alias("side"), F.coalesce("types", "old_types").alias("types"), F.coalesce("sketch", "old_sketch").alias("sketch"))
+    changed = cut(pairs.select("family", "file_name", "path", side.alias("side"), F.coalesce("types", "old_types").alias("types"), F.coalesce("sketch", "old_sketch").alias("sketch")), "changed")
     moved = changed.filter("side <> 'retyped'")
     # Only files that both lost and gained a path can hold a rename.
     both = moved.groupBy("family", "file_name").agg(F.countDistinct("side").alias("sides")).filter("sides = 2").select("family", "file_name")
-    renames = moved.join(both, ["family", "file_name"], "left_semi").groupBy("family", "file_name").applyInPandas(_match_paths, "family string, file_name string, old_path string, new_path string, score double, old_types int, new_types int")
+    renames = cut(moved.join(both, ["family", "file_name"], "left_semi").groupBy("family", "file_name").applyInPandas(_match_paths, "family string, file_name string, old_path string, new_path string, score double, old_types int, new_types int"), "renames")
     row = lambda path, kind, new, score: F.struct(path.alias("field_path"), F.lit(kind).alias("change_kind"), new.alias("new_path"), score.alias("score"))
     none = F.lit(None).cast("double")
     renamed = renames.select("family", "file_name", F.explode(F.filter(F.array(
