@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.batches import slices
+
 SEED = 4  # words of the shortest verbatim match that is looked up
 BLOCK_WORDS = 30_000  # test words searched in one pass over the corpus; a word number then fits 15 bits
 MAX_ITEMS = 1_000_000  # held-out items are few beside a corpus; more is an error
@@ -214,11 +216,8 @@ def _search(index: TestIndex, id_column: str, min_cover: int = MIN_COVER, verdic
     def run(batches):
         vocabulary = index.vocabulary
         for pdf in batches:
-            for first in range(0, len(pdf), SHARD_DOCS):
-                shard = pdf.iloc[first : first + SHARD_DOCS]
+            for shard in slices(pdf, rows=SHARD_DOCS):
                 texts = [np.fromiter((vocabulary.get(w, 0) for w in words_of(t)), dtype=np.int64) for t in shard["text"]]
-                if not texts:
-                    continue
                 ids = np.concatenate([np.append(t, 0) for t in texts])
                 doc_of = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
                 starts = np.cumsum([0] + [len(t) + 1 for t in texts])

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.batches import slices
 from tallyforge.session import bounded_rows
 
 MAX_LABELLED = 15_000  # labelled documents the model starts from, chosen by a hash of their id
@@ -166,7 +167,7 @@ def _expect(model: Model, labels: dict):
     def run(batches):
         v, k = len(model.words), len(subjects) + OTHERS
         counts, held = np.zeros((v, k)), np.zeros(k)
-        for pdf in batches:
+        for pdf in (part for whole in batches for part in slices(whole)):
             w, s, d = model.encode(pdf["text"])
             if not len(d):
                 continue
@@ -258,7 +259,7 @@ def _label(model: Model, id_column: str):
     subjects = np.array(model.subjects, dtype=object)
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for whole in batches for part in slices(whole)):
             w, s, d = model.encode(pdf["text"])
             n = len(pdf)
             if not len(d) or not len(subjects):

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import base64
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ LONG_RUN = 1_000  # characters of one unsplit run from which it is encoded as a
 LEAF_BYTES = 256  # bytes encoded at once at a tree's leaves
 WINDOW = 4  # tokens on each side of a join's first window
 LONG_TEXT = 100_000  # characters from which a text is cut into parts that several tasks encode
+SLICE_BYTES = 4_000_000  # bytes of text encoded before their ids are handed over
 PART = 50_000  # characters of such a part
 
 _RUNS = regex.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN))
@@ -124,8 +127,15 @@ def _encode_batches(vocabulary: str, id_column: str):
     def run(batches):
         enc = encoder(vocabulary)
         for batch in batches:
-            ids = [enc.text(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_column, "ids"])
+            lengths = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            first = 0
+            while first < batch.num_rows:  # ids as Python numbers take many times a text's room
+                done = lengths[first - 1] if first else 0
+                n = max(1, int(np.searchsorted(lengths, done + SLICE_BYTES)) - first)
+                part = batch.slice(first, n)
+                ids = pa.array([enc.text(t) for t in part.column(1).to_pylist()], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], [id_column, "ids"])
+                first += n
 
     return run
 

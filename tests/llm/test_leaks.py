@@ -82,3 +82,14 @@ def test_chunks_and_kept(spark, monkeypatch):
     assert L.judge(a, b)[:2] == whole[:2]
     docs = spark.createDataFrame([(1,), (2,), (2,)], "doc_id long")
     assert [r.doc_id for r in L.without_leaks(docs, spark.createDataFrame([(2, 5)], "doc_id long, item_id long")).collect()] == [1]
+
+
+def test_slices_keep_every_row(monkeypatch):
+    import pandas as pd
+
+    from tallyforge.llm import batches as B
+
+    monkeypatch.setattr(B, "SLICE_CHARS", 10)
+    pdf = pd.DataFrame({"text": ["a" * 30, None, "", "bb", "c" * 9, "d", None, "e" * 11], "k": range(8)})
+    parts = list(B.slices(pdf, rows=3))
+    assert [k for p in parts for k in p.k] == list(range(8)) and max(map(len, parts)) <= 3 and list(B.slices(pdf[:0])) == []

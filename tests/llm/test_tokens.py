@@ -53,6 +53,17 @@ def test_corpus(spark):
     assert T.encode_corpus(df.limit(0)).count() == 0
 
 
+def test_slices_lose_no_row(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(T, "SLICE_BYTES", 50)
+    rows = [None, "", "a" * 200, "b c", None, "x" * 49, "y", "z" * 51, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["doc_id", "text"])
+    out = list(T._encode_batches(T.VOCABULARY, "doc_id")(iter([batch, batch.slice(0, 0)])))
+    enc = T.encoder(T.VOCABULARY)
+    assert [x for b in out for x in b.column(1).to_pylist()] == [enc.text(r) for r in rows] and len(out) > 3
+
+
 def test_same_ids_as_another_library():
     tokenizers = pytest.importorskip("tokenizers")
     path = T.VOCABULARY.replace(".tiktoken", ".json")
