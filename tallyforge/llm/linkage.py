@@ -37,7 +37,7 @@ def solve(links: DataFrame) -> DataFrame:
     s is the similarity in [0, 1]; one row per record and entity. Links that no exclusivity touches have their minimum in
     closed form; the others go through the alternating steps. The spelling's mean value joins every block from all links.
     """
-    links = links.select("record", "entity", "contest", "spelling", "s")
+    links = cut(links.select("record", "entity", "contest", "spelling", "s"), "candidates")
     links = cut(_with(_with(links, ["record"], F.count("*").alias("n_record")), ["contest", "entity"], F.count("*").alias("n_claims")), "links")
     free = W_SIMILAR * F.col("s") / (W_SIMILAR + W_PRIOR)
     bound = (F.col("n_record") > 1) | (F.col("n_claims") > 1)
