@@ -110,16 +110,17 @@ def _read(code: ValueCode | None):
             for raw, n, form in zip(pdf.name_raw, pdf.n, pdf["shape"]):
                 if code is not None and is_packed(raw, form, code):
                     continue
-                a, b, _ = read_name(raw)
+                a, b, known = read_name(raw)
                 if a or b:
-                    rows.append((raw, n, *form_of(a, b)))
-            yield pd.DataFrame(rows, columns=["name_raw", "n", *FORM])
+                    rows.append((raw, n, *form_of(a, b), a.replace("-", "") if known and b else None))
+            yield pd.DataFrame(rows, columns=["name_raw", "n", *FORM, "given"])
 
     return run
 
 
 def single_names(names: DataFrame) -> DataFrame:
-    """(name_raw, n, x, y, hx, hy) of each distinct name that holds one person: how often it is printed, and its form.
+    """(name_raw, n, x, y, hx, hy, given) of each distinct name that holds one person: how often it is printed, its form, and
+    the given name where the print tells it.
 
     `names` has name_raw; null and blank names are left out. Fields of several persons are told by the packed-field operator.
     """
@@ -128,7 +129,7 @@ def single_names(names: DataFrame) -> DataFrame:
         code = learn_codes(counted.select(F.lit("name").alias("field_name"), F.col("name_raw").alias("text"))).get("name")
     finally:
         counted.unpersist()
-    return counted.withColumn("shape", shape(F.col("name_raw"))).mapInPandas(_read(code), "name_raw string, n long, x string, y string, hx string, hy string")
+    return counted.withColumn("shape", shape(F.col("name_raw"))).mapInPandas(_read(code), "name_raw string, n long, x string, y string, hx string, hy string, given string")
 
 
 def _starred(c):
@@ -212,3 +213,31 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, bot
     # Without the hint a table that is small on disk would be broadcast with all its keys, many times its size.
     met = src.join(dst.hint("merge"), "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
     return met.groupBy("form", "target", F.col("word").alias("a"), F.col("t_word").alias("b")).agg(F.min("kind").alias("kind")).select("form", "target", "kind", "a", "b")
+
+
+MIN_BEARERS, MIN_SHARE, MIN_LIFT = 8, 0.4, 5.0  # surnames a nickname must be seen with, the share its owner must be seen with too, and that share against the owner's usual one
+MAX_OWNERS = 1_000  # given names, by their number of surnames, that may own a nickname
+
+
+def learned_nicknames(names: DataFrame) -> DataFrame:
+    """(nickname, canonical): given names whose bearers nearly all appear under one commoner given name, too.
+
+    A nickname that no table lists shows in the company it keeps: most surnames printed with it are printed with its owner.
+    Only its best owner is taken, and plain short forms are left to the rule for them.
+    Only the MAX_OWNERS commonest given names may be owners, so that a surname meets each of its nicknames with a bounded
+    number of names. Words count as given names where prints that tell the order say so.
+    """
+    told = names.filter("given is not null").select("given", F.when(F.col("x") == F.rtrim("given", F.lit("*")), F.col("y")).when(F.col("given") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("surname"))
+    sides = told.select(F.explode(F.array(F.struct(F.col("given").alias("word"), F.lit(1).alias("v")), F.struct(F.col("surname").alias("word"), F.lit(-1).alias("v")))).alias("s")).select("s.*")
+    given = sides.groupBy("word").agg(F.sum("v").alias("v")).filter("v > 0").select("word")
+    full = names.filter("x <> '' and y <> '' and not x like '%*' and not y like '%*'").select("x", "y").distinct()
+    seen = full.select(F.explode(F.array(F.struct(F.col("x").alias("word"), F.col("y").alias("other")), F.struct(F.col("y").alias("word"), F.col("x").alias("other")))).alias("s")).select("s.*").join(given, "word")
+    bearers = seen.groupBy("word").agg(F.count("*").alias("d")).filter(F.col("d") >= MIN_BEARERS)
+    owners = bearers.orderBy(F.col("d").desc(), "word").limit(MAX_OWNERS)
+    a = seen.join(bearers, "word").select("other", F.col("word").alias("nickname"), "d")
+    b = seen.join(owners, "word").select("other", F.col("word").alias("canonical"), F.col("d").alias("d_owner"))
+    n = seen.select(F.approx_count_distinct("other").alias("n_surnames"))
+    met = a.join(b, "other").filter((F.col("d_owner") >= 2 * F.col("d"))).groupBy("nickname", "canonical", "d", "d_owner").agg(F.count("*").alias("both"))
+    share = F.col("both") / F.col("d")
+    best = met.groupBy("nickname", "d").agg(F.max(F.struct("both", "d_owner", "canonical")).alias("m")).select("nickname", "d", "m.*").filter(~F.col("canonical").startswith(F.col("nickname")))
+    return best.filter(share >= MIN_SHARE).join(n).filter(share >= MIN_LIFT * F.col("d_owner") / F.col("n_surnames")).select("nickname", "canonical")
