@@ -108,3 +108,17 @@ def test_links(spark):
     assert got == {"L-1": 1, "L-2": 2, "L-6": 3, "L-7": 4}
     for a in (e.limit(0), e):
         assert K.link_entries(a, r.limit(0), dancers, ev, nick).count() == 0
+
+
+def test_nicknames_are_learned_from_their_company(spark):
+    rng = random.Random(6)
+    givens = [a + b for a in ("Alb", "Ber", "Cor", "Dav", "Ern") for b in ("ina", "olf", "ette", "win", "mar")]
+    surnames = [a + b for a in ("Brook", "Crane", "Dell", "Ember", "Fox", "Gale", "Hill", "Iver", "Jutt", "Kemp", "Lind", "Marsh") for b in ("man", "ton", "sen", "wick", "by", "ler", "hurst", "ford", "ley", "croft", "dale", "stone", "gate", "worth")]
+    rows = []
+    for s in surnames:
+        rows += [x for g in rng.sample(givens[1:], 3) for x in (f"{s}, {g}", f"{g} {s}", f"{g.upper()} {s.upper()}", f"{g}  {s}")]
+    named = [s for s in surnames[:24]]
+    rows += [f"{s}, Albina" for s in named] + [f"{s}, Zuz" for s in named[:12]]
+    read = N.single_names(spark.createDataFrame([(r,) for r in rows], "name_raw string"))
+    assert [tuple(r) for r in N.learned_nicknames(read).collect()] == [("zuz", "albina")]
+    assert N.learned_nicknames(read.limit(0)).count() == 0
