@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.clean import folded
-from tallyforge.llm.names import FORM, form_of, form_pairs, read_name, single_names
+from tallyforge.llm.names import FORM, form_of, form_pairs, read_name, single_names, word_slips
 from tallyforge.session import cut
 
 W_SIMILAR, W_PRIOR, W_EXCLUSIVE, W_SAME = 1.0, 0.25, 2.0, 0.1
@@ -28,6 +28,7 @@ STEPS, BLOCKS = 4, 3  # steps between two written tables, and how many such bloc
 ACCEPT = 0.5  # least confidence of a match
 # Similarity by the kind of agreement of two names.
 SIMILARITY = {"exact": 1.0, "slip": 0.85, "nick": 0.85, "short": 0.75, "long": 0.75, "half": 0.8}
+SIMILARITY_TWO = 0.85  # factor for a slip in the other part as well
 PRINTED_ID = 0.1  # what a printed id that agrees adds
 
 
@@ -98,11 +99,12 @@ def name_candidates(forms: DataFrame, people: DataFrame, nicknames: DataFrame) -
     known = people.filter("entity is not null").groupBy("entity").agg(F.max(F.struct("first_name", "last_name")).alias("m")).select("entity", "m.*")
     known = cut(known.mapInPandas(_dancer_forms, f"entity {kind}, x string, y string, hx string, hy string"), "people")
     owner = known.select(F.concat_ws("|", "x", "y").alias("target"), "entity")
-    exact = forms.select(F.concat_ws("|", "x", "y").alias("target")).distinct().select(F.col("target").alias("form"), "target", F.lit("exact").alias("kind"))
+    exact = forms.select(F.concat_ws("|", "x", "y").alias("target")).distinct().select(F.col("target").alias("form"), "target", F.lit("exact").alias("kind"), F.lit(False).alias("two"))
     targets = known.groupBy("x", "y").agg(F.max("hx").alias("hx"), F.max("hy").alias("hy"))
-    similar = form_pairs(forms, targets, nicknames, both=True).select("form", "target", "kind")
+    slips = cut(word_slips(forms, targets), "slips")
+    similar = form_pairs(forms, targets, nicknames, slips, both=True).select("form", "target", "kind", "two")
     score = F.create_map(*[F.lit(v) for kv in SIMILARITY.items() for v in kv])
-    return exact.unionByName(similar).join(owner, "target").groupBy("form", "entity").agg(F.max(score[F.col("kind")]).alias("s"))
+    return exact.unionByName(similar).join(owner, "target").groupBy("form", "entity").agg(F.max(score[F.col("kind")] * F.when(F.col("two"), SIMILARITY_TWO).otherwise(1.0)).alias("s"))
 
 
 def link_entries(entries: DataFrame, registry: DataFrame, people: DataFrame, events: DataFrame, nicknames: DataFrame) -> DataFrame:

@@ -162,13 +162,27 @@ LONG_WORD = 60  # letters from which a word's slips are looked up by its ends
 MAX_BARE = 5  # letters of the longest short form without a dot
 
 
-def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, both: bool = False) -> DataFrame:
-    """(form, target, kind, a, b): forms of one person perhaps, with the two words they differ in.
+def word_slips(sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """(a, b): words of the sources' names and words of the targets' that are one typing slip apart."""
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        words = df.filter("x <> '' and y <> ''").select(F.explode(F.array("x", "y")).alias(name)).filter(~_starred(name) & (F.length(name) >= MIN_SLIP - 1)).distinct()
+        return words.select(name, F.explode(_letters_left_out(F.col(name))).alias("key"))
+
+    # Without the hint a table that is small on disk would be broadcast with all its keys, many times its size.
+    met = keyed(sources, "a").join(keyed(targets, "b").hint("merge"), "key")
+    apart = (F.greatest(F.length("a"), F.length("b")) >= MIN_SLIP) & _one_slip(F.col("a"), F.col("b"))
+    return met.filter((F.col("a") != F.col("b")) & apart).select("a", "b").distinct()
+
+
+def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, slips: DataFrame, both: bool = False) -> DataFrame:
+    """(form, target, kind, a, b, two): forms of one person perhaps, with the two words they differ in.
 
     Kinds: short (a given name's first letters), nick (a nickname and its owner), slip (one typing slip in one part), half
-    (one half of a double name); if `both`, also long (the target is the short form) and nick either way. Everything meets in one join on whole keys, each a part of the name together with
-    what the other part is known by: its first letter, a nickname's owner, itself with one letter left out, or a half.
-    Both tables have x, y, hx, hy. The nickname table belongs to a language and is small; more than MAX_NICKNAMES is an error.
+    (one half of a double name); if `both`, also long (the target is the short form) and nick either way. The other parts are
+    equal, or, where `two` is true, one typing slip apart as well. Everything meets in one join on whole keys, each the
+    target's other part together with what its word is known by: its first letter, a nickname's owner, itself, or a half.
+    Both tables have x, y, hx, hy; `slips` has the word_slips that count.
+    The nickname table belongs to a language and is small; more than MAX_NICKNAMES is an error.
     """
     owners: dict[str, list[str]] = {}
     for r in bounded_rows(nicknames.select(F.lower("nickname"), F.lower("canonical")).filter("nickname is not null and canonical is not null").distinct(), MAX_NICKNAMES, "nicknames"):
@@ -192,14 +206,17 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, bot
     letter = lambda c: F.array(F.substring(c, 1, 1))
     owners = lambda c: F.coalesce(F.try_element_at(owner_of, F.col(c)), none) if owner_of is not None else none
     itself_and = lambda c, more: F.concat(F.array(c), more) if both else more
-    slips = lambda c: only(~_starred(c) & (F.length(c) >= MIN_SLIP - 1), _letters_left_out(F.col(c)))
+    # Every part is also looked up under the words that its other part may be a slip of.
+    meant = s.join(slips.select(F.col("a").alias("other"), F.col("b").alias("means")), "other").select("form", "word", F.col("means").alias("other"), F.lit(True).alias("two"))
+    s = s.select("form", "word", "other", F.lit(False).alias("two")).unionByName(meant)
     src = keyed(s, "other", {
         "short": only(_starred("word") | (F.length("word") <= MAX_BARE), letter("word")),
         "nick": only(full, itself_and("word", owners("word"))), "long": only(full, letter("word")) if both else none,
-        "slip": slips("word"), "half": only(full & (F.length("word") > 2), F.array("word")),
+        "half": only(full & (F.length("word") > 2), F.array("word")),
     })
+    slipped = s.join(slips.select(F.col("a").alias("word"), F.col("b").alias("piece")), "word").withColumn("kind", F.lit("slip")).withColumn("key", F.xxhash64("kind", "other", "piece")).drop("piece")
     dst = keyed(t, "t_other", {
-        "short": letter("t_word"), "nick": F.concat(F.array("t_word"), owners("t_word")) if both else F.array("t_word"), "slip": slips("t_word"),
+        "short": letter("t_word"), "nick": F.concat(F.array("t_word"), owners("t_word")) if both else F.array("t_word"), "slip": F.array("t_word"),
         "long": only(F.length("t_word") <= MAX_BARE, letter("t_word")) if both else none,
         "half": F.coalesce(F.split("h", "-"), none),
     }).withColumnRenamed("kind", "t_kind")
@@ -207,12 +224,11 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, bot
     fits = (
         F.when(F.col("kind") == "short", F.col("t_word").startswith(start))
         .when(F.col("kind") == "long", F.col("word").startswith(F.col("t_word")))
-        .when(F.col("kind") == "slip", (F.greatest(F.length("word"), F.length("t_word")) >= MIN_SLIP) & _one_slip(F.col("word"), F.col("t_word")))
         .otherwise(True)
     )
     # Without the hint a table that is small on disk would be broadcast with all its keys, many times its size.
-    met = src.join(dst.hint("merge"), "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
-    return met.groupBy("form", "target", F.col("word").alias("a"), F.col("t_word").alias("b")).agg(F.min("kind").alias("kind")).select("form", "target", "kind", "a", "b")
+    met = src.unionByName(slipped).join(dst.hint("merge"), "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
+    return met.groupBy("form", "target", F.col("word").alias("a"), F.col("t_word").alias("b")).agg(F.min("kind").alias("kind"), F.min("two").alias("two")).select("form", "target", "kind", "a", "b", "two")
 
 
 MIN_BEARERS, MIN_SHARE, MIN_LIFT = 8, 0.4, 5.0  # surnames a nickname must be seen with, the share its owner must be seen with too, and that share against the owner's usual one

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.names import form_pairs, learned_nicknames, single_names
+from tallyforge.llm.names import form_pairs, learned_nicknames, single_names, word_slips
 from tallyforge.session import cut
 
 MAX_ROUNDS = 30  # more rounds than merges can take is an error, not a cut
@@ -27,18 +27,22 @@ def profiles(names: DataFrame, nicknames: DataFrame) -> DataFrame:
     forms = cut(forms, "forms")
     words = forms.filter("x <> '' and y <> '' and not x like '%*' and not y like '%*'").select(F.explode(F.array("x", "y")).alias("word"))
     partners = words.groupBy("word").agg(F.count("*").alias("d"))
-    pairs = form_pairs(forms, forms, nicknames)
+    slips = (
+        word_slips(forms, forms).join(partners.select(F.col("word").alias("a"), F.col("d").alias("da")), "a", "left").join(partners.select(F.col("word").alias("b"), F.col("d").alias("db")), "b")
+        .filter(F.coalesce("da", F.lit(0)) <= F.greatest(F.lit(2.0), RARE * F.col("db"))).select("a", "b")
+    )
+    slips = cut(slips, "slips")
+    pairs = form_pairs(forms, forms, nicknames, slips)
     pairs = (
         pairs.join(partners.select(F.col("word").alias("a"), F.col("d").alias("da")), "a", "left")
         .join(partners.select(F.col("word").alias("b"), F.col("d").alias("db")), "b", "left")
-        .filter(
-            (F.col("kind").isin("nick", "half"))
-            | ((F.col("kind") == "short") & (F.col("a").endswith("*") | (F.col("da") <= F.greatest(F.lit(1.0), RARE_SHORT * F.col("db")))))
-            | ((F.col("kind") == "slip") & (F.col("da") <= F.greatest(F.lit(2.0), RARE * F.col("db"))))
-        )
-        .select("form", "target", "kind", ((F.col("kind") == "slip") & (F.col("da") < F.col("db")) & (F.col("da") <= RARE * F.col("db"))).alias("rarer"))
+        .filter((F.col("kind") != "short") | F.col("a").endswith("*") | (F.col("da") <= F.greatest(F.lit(1.0), RARE_SHORT * F.col("db"))))
+        .select("form", "target", F.when(F.col("two"), "two").otherwise(F.col("kind")).alias("kind"), (~F.col("two") & (F.col("kind") == "slip") & (F.col("da") < F.col("db")) & (F.col("da") <= RARE * F.col("db"))).alias("rarer"))
     )
     pairs = cut(pairs, "pairs")
+    # A form that departs in one part from some name is not read as another one's with two departures.
+    pairs = pairs.filter("kind <> 'two'").unionByName(pairs.filter("kind = 'two'").join(pairs.filter("kind <> 'two'").select("form").distinct(), "form", "left_anti"))
+    pairs = cut(pairs, "pairs")
     state = forms.select("form", "n", F.col("form").alias("root"), F.col("n").alias("w"))
     for _ in range(MAX_ROUNDS):
         merges = cut(_merges(state, pairs), "merges")
@@ -52,8 +56,9 @@ def profiles(names: DataFrame, nicknames: DataFrame) -> DataFrame:
 def _merges(state: DataFrame, pairs: DataFrame) -> DataFrame:
     """(root, into): which profiles merge in this round, every one into a heavier one.
 
-    A slip goes to the heaviest profile it may come from, which outweighs it or whose word is far more common. Short forms
-    and halves merge only where one profile fits, or outweighs the others that fit CLEAR times. A chain of merges closes
+    A slip goes to the heaviest profile it may come from, which outweighs it or whose word is far more common. Short forms,
+    halves and names that depart in two parts merge only where one profile fits, or outweighs the others that fit CLEAR
+    times; the last two only into a profile of at least their weight. A chain of merges closes
     in the rounds after, since each takes at least one profile away.
     """
     a = state.select("form", F.col("root").alias("a"), F.col("w").alias("wa"))
@@ -64,7 +69,7 @@ def _merges(state: DataFrame, pairs: DataFrame) -> DataFrame:
     fit = F.col("kind") != "slip"
     met = (
         pairs.join(a, "form").join(b, "target").filter(F.col("a") != F.col("b"))
-        .groupBy("a", "wa", "b", "wb").agg(F.max(slip).alias("slip"), F.max(fit).alias("fit"), F.min(F.when(fit, F.col("kind") == "half")).alias("half"))
+        .groupBy("a", "wa", "b", "wb").agg(F.max(slip).alias("slip"), F.max(fit).alias("fit"), F.min(F.when(fit, F.col("kind").isin("half", "two"))).alias("half"))
     )
     each = met.groupBy("a", "wa").agg(
         F.max(F.when(F.col("slip"), into)).alias("slip"), F.max(F.when(F.col("fit"), into)).alias("most"),

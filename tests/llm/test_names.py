@@ -122,3 +122,15 @@ def test_nicknames_are_learned_from_their_company(spark):
     read = N.single_names(spark.createDataFrame([(r,) for r in rows], "name_raw string"))
     assert [tuple(r) for r in N.learned_nicknames(read).collect()] == [("zuz", "albina")]
     assert N.learned_nicknames(read.limit(0)).count() == 0
+
+
+def test_names_that_depart_in_both_parts(spark):
+    people = [f"{g} {s}" for g, s in (("Robert", "Fenurzeku"), ("Elizabeth", "Caselrupy"), ("Konrad", "Helonzekow")) for _ in range(9)]
+    odd = {"Bob Fenurezku": "Robert Fenurzeku", "L. Caselrupy": None, "E. Csaelrupy": "Elizabeth Caselrupy", "Konrda Helonzeokw": "Konrad Helonzekow"}
+    root = groups(spark, people + list(odd))
+    for raw, person in odd.items():
+        assert root[raw] == root[person] if person else raw not in {r for r in root if root[r] == root["Elizabeth Caselrupy"]}
+    known = spark.createDataFrame([("1", "Robert", "Fenurzeku"), ("2", "Konrad", "Helonzekow")], "entity string, first_name string, last_name string")
+    forms = N.single_names(spark.createDataFrame([(r,) for r in odd], "name_raw string"))
+    nick = spark.createDataFrame(NICKS, NICK)
+    assert {(r.form, r.entity) for r in K.name_candidates(forms, known, nick).collect()} == {("bob|fenurezku", "1"), ("helonzeokw|konrda", "2")}
