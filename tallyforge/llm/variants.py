@@ -1,23 +1,28 @@
 """Variant spellings of names, by merging and matching again.
 
-Every distinct name is read into a form. Forms are the first profiles; a profile is the union of the spellings merged into
-it. It blocks under the keys of all its spellings, so the pairs of forms that any block brings together are found once and
-stay; each round judges them again between the profiles as they have grown, since a short form that fitted two profiles
-fits one after these merge, and a rare spelling is measured against the whole weight of a profile. Rounds end when no pair
-merges any more.
+Every distinct name is read into a form. Forms are the first profiles; a profile is the union of the given names and of the
+surname spellings merged into it. Each round joins the unions that have grown with all other names again, since a spelling
+may fit what two forms hold together and neither alone, and judges all pairs between the profiles as they have grown: a
+short form that fitted two profiles fits one after these merge, and a rare spelling is measured against the whole weight of
+a profile. Rounds end when no pair merges any more; without a merge no union grows and no pair is new.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from difflib import SequenceMatcher
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.names import form_pairs, learned_nicknames, single_names, word_slips
+from tallyforge.llm.names import FORM, form_pairs, learned_nicknames, single_names, word_slips
 from tallyforge.session import cut
 
 MAX_ROUNDS = 30  # more rounds than merges can take is an error, not a cut
 RARE = 0.2  # a slip's word has at most two partners, or this share of the right word's
 CLEAR = 6.0  # a short form goes to a profile that outweighs all others it fits so many times
+FORM_COLUMNS = ["form", *FORM]
 RARE_SHORT = 0.5  # the same for a short form without a dot
 
 
@@ -31,28 +36,92 @@ def profiles(names: DataFrame, nicknames: DataFrame) -> DataFrame:
         word_slips(forms, forms).join(partners.select(F.col("word").alias("a"), F.col("d").alias("da")), "a", "left").join(partners.select(F.col("word").alias("b"), F.col("d").alias("db")), "b")
         .filter(F.coalesce("da", F.lit(0)) <= F.greatest(F.lit(2.0), RARE * F.col("db"))).select("a", "b")
     )
-    slips = cut(slips, "slips")
-    pairs = form_pairs(forms, forms, nicknames, slips)
-    pairs = (
-        pairs.join(partners.select(F.col("word").alias("a"), F.col("d").alias("da")), "a", "left")
-        .join(partners.select(F.col("word").alias("b"), F.col("d").alias("db")), "b", "left")
-        .filter((F.col("kind") != "short") | F.col("a").endswith("*") | (F.col("da") <= F.greatest(F.lit(1.0), RARE_SHORT * F.col("db"))))
-        .select("form", "target", F.when(F.col("two"), "two").otherwise(F.col("kind")).alias("kind"), (~F.col("two") & (F.col("kind") == "slip") & (F.col("da") < F.col("db")) & (F.col("da") <= RARE * F.col("db"))).alias("rarer"))
-    )
-    pairs = cut(pairs, "pairs")
-    # A form that departs in one part from some name is not read as another one's with two departures.
-    pairs = pairs.filter("kind <> 'two'").unionByName(pairs.filter("kind = 'two'").join(pairs.filter("kind <> 'two'").select("form").distinct(), "form", "left_anti"))
-    pairs = cut(pairs, "pairs")
-    state = forms.select("form", "n", F.col("form").alias("root"), F.col("n").alias("w"))
+    slips, partners = cut(slips, "slips"), cut(partners, "partners")
+    pairs = cut(_met(forms, forms, nicknames, slips, partners), "pairs")
+    state = forms.select("form", "x", "y", "hx", "hy", "n", F.col("form").alias("root"), F.col("n").alias("w"))
     for _ in range(MAX_ROUNDS):
-        merges = cut(_merges(state, pairs), "merges")
+        merges = cut(_merges(state, _closest(pairs)), "merges")
         if merges.isEmpty():
-            return state
-        moved = state.join(merges, "root", "left").select("form", "n", F.coalesce("into", "root").alias("root"))
+            return state.filter("n > 0").select("form", "n", "root", "w")
+        moved = state.drop("w").join(merges, "root", "left").select(*FORM_COLUMNS, "n", F.coalesce("into", "root").alias("root"))
+        moved = cut(moved.distinct(), "moved")
+        grown = cut(_unions(moved.join(merges.select(F.col("into").alias("root")).distinct(), "root", "left_semi")), "unions")
+        if not grown.isEmpty():
+            new, every = grown.select(*FORM_COLUMNS).distinct(), moved.unionByName(grown).select(*FORM_COLUMNS).distinct()
+            same = grown.select("form", "root").join(moved.unionByName(grown).select("form", F.col("root").alias("r")), "form").filter("r <> root").select("form", F.col("form").alias("target"), F.lit("half").alias("kind"), F.lit(False).alias("rarer"))
+            met = _met(every, new, nicknames, slips, partners).unionByName(_met(new, every, nicknames, slips, partners))
+            pairs = cut(pairs.unionByName(met).unionByName(same).distinct(), "pairs")
+            moved = moved.unionByName(grown)
         state = cut(moved.join(moved.groupBy("root").agg(F.sum("n").alias("w")), "root"), "state")
     raise RuntimeError(f"merging went on after {MAX_ROUNDS} rounds")
 
 
+def _met(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, slips: DataFrame, partners: DataFrame) -> DataFrame:
+    """(form, target, kind, rarer): the pairs of forms whose words are rare enough for what parts them."""
+    return (
+        form_pairs(sources, targets, nicknames, slips)
+        .join(partners.select(F.col("word").alias("a"), F.col("d").alias("da")), "a", "left")
+        .join(partners.select(F.col("word").alias("b"), F.col("d").alias("db")), "b", "left")
+        .filter((F.col("kind") != "short") | F.col("a").endswith("*") | (F.col("da") <= F.greatest(F.lit(1.0), RARE_SHORT * F.col("db"))))
+        .select("form", "target", F.when(F.col("two"), "two").otherwise(F.col("kind")).alias("kind"), (~F.col("two") & (F.col("kind") == "slip") & (F.col("da") < F.col("db")) & (F.col("da") <= RARE * F.col("db"))).alias("rarer"))
+    )
+
+
+def _closest(pairs: DataFrame) -> DataFrame:
+    """pairs without those in two parts of forms that depart in one part from some name."""
+    near = pairs.filter("kind <> 'two'")
+    return near.unionByName(pairs.filter("kind = 'two'").join(near.select("form").distinct(), "form", "left_anti"))
+
+
+def union_forms(forms: list[tuple]) -> list[tuple[str, str]]:
+    """The names that a profile's forms (x, y, weight) hold together and none of them alone, as pairs of words in alphabetical order.
+
+    Forms that share a word have it on the same side, so the sides of a profile's words follow from its heaviest form. A
+    form that shares none goes the way it looks more alike. An abbreviation adds its surname, but no given name, since it stands for one
+    that the profile holds.
+    """
+    weight: dict[tuple[str, str], int] = defaultdict(int)
+    for x, y, n in forms:
+        if x and y and x != y:
+            weight[x, y] += n
+    left = sorted(weight, key=lambda f: (f[0].endswith("*") or f[1].endswith("*"), -weight[f], f))
+    if not left or any(p.endswith("*") for p in left[0]):
+        return []
+    printed, side = set(left), {left[0][0]: 0, left[0][1]: 1}
+    words = lambda k: [w for w, at in side.items() if at == k]
+    alike = lambda p, k: max((1.0 if p.endswith("*") and w.startswith(p[:-1]) else SequenceMatcher(None, p, w).ratio()) for w in words(k))
+    left = left[1:]
+    while left:
+        f = next((f for f in left if f[0] in side or f[1] in side), left[0])
+        left.remove(f)
+        x, y = f
+        if x in side or y in side:
+            at = side[x] if x in side else 1 - side[y]
+        else:
+            at = 0 if alike(x, 0) + alike(y, 1) >= alike(x, 1) + alike(y, 0) else 1
+        for p, k in ((x, at), (y, 1 - at)):
+            if not p.endswith("*"):
+                side.setdefault(p, k)
+    return sorted({(min(a, b), max(a, b)) for a in words(0) for b in words(1)} - printed)
+
+
+def _union_batches(batches):
+    for batch in batches:
+        out = defaultdict(list)
+        for root, forms in zip(batch.column("root").to_pylist(), batch.column("forms").to_pylist()):
+            hyphens = {w: h for f in forms for w, h in ((f["x"], f["hx"]), (f["y"], f["hy"])) if h}
+            for x, y in union_forms([(f["x"], f["y"], f["n"]) for f in forms]):
+                for c, v in (("form", f"{x}|{y}"), ("x", x), ("y", y), ("hx", hyphens.get(x)), ("hy", hyphens.get(y)), ("n", 0), ("root", root)):
+                    out[c].append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(out[c], pa.int64() if c == "n" else pa.string()) for c in [*FORM_COLUMNS, "n", "root"]], [*FORM_COLUMNS, "n", "root"])
+
+
+def _unions(state: DataFrame) -> DataFrame:
+    """The names that profiles hold together and none of their forms alone, with n = 0. A profile's forms are one person's spellings."""
+    grouped = state.groupBy("root").agg(F.collect_list(F.struct("x", "y", "hx", "hy", "n")).alias("forms")).filter(F.size("forms") > 1)
+    return grouped.mapInArrow(_union_batches, "form string, x string, y string, hx string, hy string, n long, root string")
+
+
 def _merges(state: DataFrame, pairs: DataFrame) -> DataFrame:
     """(root, into): which profiles merge in this round, every one into a heavier one.
 
@@ -90,7 +159,7 @@ def spelling_groups(names: DataFrame, nicknames: DataFrame) -> DataFrame:
     the weight of the others, stays by itself with the other spellings of the same abbreviation. Names without any letter are left out.
     """
     read = cut(single_names(names), "names")
-    known = nicknames.select("nickname", "canonical").unionByName(learned_nicknames(read))
+    known = cut(nicknames.select("nickname", "canonical").unionByName(learned_nicknames(read)), "nicknames")
     found = profiles(read, known)
     return read.withColumn("form", F.concat_ws("|", "x", "y")).join(found.select("form", "root"), "form").select("name_raw", "n", "root")
 

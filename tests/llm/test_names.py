@@ -134,3 +134,17 @@ def test_names_that_depart_in_both_parts(spark):
     forms = N.single_names(spark.createDataFrame([(r,) for r in odd], "name_raw string"))
     nick = spark.createDataFrame(NICKS, NICK)
     assert {(r.form, r.entity) for r in K.name_candidates(forms, known, nick).collect()} == {("bob|fenurezku", "1"), ("helonzeokw|konrda", "2")}
+
+
+def test_spellings_that_fit_only_a_merged_profile(spark):
+    """R. and Roebrt with the surname of a form under Bob: no print has both."""
+    raws = ["Robert Fenurzeku"] * 9 + ["Bob Fenurzeku"] * 5 + ["Bob Fenurzekuu"] * 2 + ["Bob Fenurzekuub", "R. Fenurzekuub", "Konrad Helonzekow"]
+    root = groups(spark, raws)
+    assert len({root[r] for r in raws[:-1]}) == 1 and root["Konrad Helonzekow"] != root[raws[0]]
+
+
+def test_unions_of_profiles():
+    assert V.union_forms([("robert", "smith", 3), ("bob", "smith", 1), ("bob", "smyth", 1)]) == [("robert", "smyth")]
+    assert V.union_forms([("robert", "smith", 3), ("r*", "smyth", 1)]) == [("robert", "smyth")]
+    assert V.union_forms([("robert", "smith", 3), ("robetr", "smiht", 1)]) == [("robert", "smiht"), ("robetr", "smith")]
+    assert V.union_forms([("r*", "smith", 3), ("", "smith", 1)]) == []
