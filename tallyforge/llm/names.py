@@ -232,7 +232,7 @@ def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, sli
 
 
 MIN_BEARERS, MIN_SHARE, MIN_LIFT = 8, 0.4, 5.0  # surnames a nickname must be seen with, the share its owner must be seen with too, and that share against the owner's usual one
-MAX_OWNERS = 1_000  # given names, by their number of surnames, that may own a nickname
+SALT_OWNERS, MAX_SALTS = 1_000, 1_000  # given names of a surname from which its pairs are spread over several tasks, and how many at most
 
 
 def learned_nicknames(names: DataFrame) -> DataFrame:
@@ -240,8 +240,8 @@ def learned_nicknames(names: DataFrame) -> DataFrame:
 
     A nickname that no table lists shows in the company it keeps: most surnames printed with it are printed with its owner.
     Only its best owner is taken, and plain short forms are left to the rule for them.
-    Only the MAX_OWNERS commonest given names may be owners, so that a surname meets each of its nicknames with a bounded
-    number of names. Words count as given names where prints that tell the order say so.
+    Any given name with twice the surnames may be an owner. A surname of very many given names is spread over salts, one
+    for every SALT_OWNERS of them, so that no task pairs them all. Words count as given names where prints that tell the order say so.
     """
     told = names.filter("given is not null").select("given", F.when(F.col("x") == F.rtrim("given", F.lit("*")), F.col("y")).when(F.col("given") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("surname"))
     sides = told.select(F.explode(F.array(F.struct(F.col("given").alias("word"), F.lit(1).alias("v")), F.struct(F.col("surname").alias("word"), F.lit(-1).alias("v")))).alias("s")).select("s.*")
@@ -249,11 +249,13 @@ def learned_nicknames(names: DataFrame) -> DataFrame:
     full = names.filter("x <> '' and y <> '' and not x like '%*' and not y like '%*'").select("x", "y").distinct()
     seen = full.select(F.explode(F.array(F.struct(F.col("x").alias("word"), F.col("y").alias("other")), F.struct(F.col("y").alias("word"), F.col("x").alias("other")))).alias("s")).select("s.*").join(given, "word")
     bearers = seen.groupBy("word").agg(F.count("*").alias("d")).filter(F.col("d") >= MIN_BEARERS)
-    owners = bearers.orderBy(F.col("d").desc(), "word").limit(MAX_OWNERS)
-    a = seen.join(bearers, "word").select("other", F.col("word").alias("nickname"), "d")
-    b = seen.join(owners, "word").select("other", F.col("word").alias("canonical"), F.col("d").alias("d_owner"))
+    borne = seen.join(bearers, "word")
+    salts = F.least(F.lit(MAX_SALTS), F.ceil(F.count("*") / SALT_OWNERS)).cast("int")
+    borne = borne.join(borne.groupBy("other").agg(salts.alias("salts")), "other")
+    a = borne.select("other", F.col("word").alias("nickname"), "d", F.pmod(F.hash("word"), "salts").alias("salt"))
+    b = borne.filter(F.col("d") >= 2 * MIN_BEARERS).select("other", F.col("word").alias("canonical"), F.col("d").alias("d_owner"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     n = seen.select(F.approx_count_distinct("other").alias("n_surnames"))
-    met = a.join(b, "other").filter((F.col("d_owner") >= 2 * F.col("d"))).groupBy("nickname", "canonical", "d", "d_owner").agg(F.count("*").alias("both"))
+    met = a.join(b, ["other", "salt"]).filter((F.col("d_owner") >= 2 * F.col("d"))).groupBy("nickname", "canonical", "d", "d_owner").agg(F.count("*").alias("both"))
     share = F.col("both") / F.col("d")
     best = met.groupBy("nickname", "d").agg(F.max(F.struct("both", "d_owner", "canonical")).alias("m")).select("nickname", "d", "m.*").filter(~F.col("canonical").startswith(F.col("nickname")))
     return best.filter(share >= MIN_SHARE).join(n).filter(share >= MIN_LIFT * F.col("d_owner") / F.col("n_surnames")).select("nickname", "canonical")

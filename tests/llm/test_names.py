@@ -148,3 +148,13 @@ def test_unions_of_profiles():
     assert V.union_forms([("robert", "smith", 3), ("r*", "smyth", 1)]) == [("robert", "smyth")]
     assert V.union_forms([("robert", "smith", 3), ("robetr", "smiht", 1)]) == [("robert", "smiht"), ("robetr", "smith")]
     assert V.union_forms([("r*", "smith", 3), ("", "smith", 1)]) == []
+
+
+def test_nicknames_of_owners_of_any_rank(spark, monkeypatch):
+    """1,001 given names are commoner than the owner; the salts change nothing."""
+    names = [("s" + str(j), f"g{i}x") for i in range(1001) for j in range((i * 7) % 60, (i * 7) % 60 + 26)]
+    names += [(f"t{j}", "albina") for j in range(16)] + [(f"t{j}", "zuz") for j in range(8)]
+    read = spark.createDataFrame([(min(s, g), max(s, g), g) for s, g in names], "x string, y string, given string")
+    for most in (1_000, 5):
+        monkeypatch.setattr(N, "SALT_OWNERS", most, raising=False)
+        assert ("zuz", "albina") in {tuple(r) for r in N.learned_nicknames(read).collect()}
