@@ -364,4 +364,38 @@ def multiset_gaps(spark, d):
     return R.multiset_gap(k.filter("release_no = 1"), k.filter("release_no = 2"), ["status", "method"])
 
 
+_STEPS = "(SELECT before, release_no FROM (SELECT release_no, lag(release_no) OVER (ORDER BY release_no) AS before FROM (SELECT DISTINCT release_no FROM link_snapshots WHERE release_no IS NOT NULL)) WHERE before IS NOT NULL)"
+
+
+def _steps(k):
+    """(before, release_no): each release and the one before it."""
+    r = k.select("release_no").distinct()
+    return r.join(r.select(F.col("release_no").alias("before")), F.col("before") < F.col("release_no")).groupBy("release_no").agg(F.max("before").alias("before"))
+
+
+@query(f"""
+WITH k AS (SELECT DISTINCT release_no, lower(trim(record_key)) AS record_key FROM link_snapshots)
+SELECT r.release_no, o.record_key FROM {_STEPS} r JOIN k o ON o.release_no = r.before WHERE NOT EXISTS (SELECT 1 FROM k n WHERE n.release_no = r.release_no AND n.record_key IS NOT DISTINCT FROM o.record_key)
+""")
+def removed_ids_all(spark, d):
+    """For every release, the keys of the one before that it lacks."""
+    k = table(spark, d, "link_snapshots").select("release_no", F.lower(F.trim("record_key")).alias("record_key"))
+    steps = _steps(k)
+    old = k.withColumnRenamed("release_no", "before").join(steps, "before").select("release_no", "record_key")
+    return old.subtract(k)
+
+
+@query(f"""
+WITH k AS (SELECT release_no, lower(trim(status)) AS status, lower(trim(method)) AS method FROM link_snapshots),
+g AS (SELECT r.release_no, k.status, k.method, sum(CASE WHEN k.release_no = r.before THEN 1 ELSE -1 END) AS n_missing FROM {_STEPS} r JOIN k ON k.release_no IN (r.before, r.release_no) GROUP BY 1, 2, 3)
+SELECT release_no, status, method, n_missing FROM g WHERE n_missing > 0
+""")
+def multiset_gaps_all(spark, d):
+    """Status and method pairs that any release holds less often than the one before."""
+    k = table(spark, d, "link_snapshots").select("release_no", F.lower(F.trim("status")).alias("status"), F.lower(F.trim("method")).alias("method"))
+    steps = _steps(k)
+    old = k.withColumnRenamed("release_no", "before").join(steps, "before").select("release_no", "status", "method")
+    return R.multiset_gap(old, k, ["release_no", "status", "method"])
+
+
 queries, oracle_sql = query.queries, query.oracle_sql

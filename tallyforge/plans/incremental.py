@@ -10,11 +10,12 @@ from tallyforge.functions import times
 from tallyforge.operators import relational as R
 from tallyforge.plans.registry import Queries
 from tallyforge.plans.relational import ENTRIES, EVENTS, PLACEMENTS, _once
-from tallyforge.session import shared_dir, table
+from tallyforge.session import bounded_rows, shared_dir, table
 from tallyforge.sources import sinks
 from tallyforge.streaming import streams
 
 query = Queries()
+MAX_RELEASES = 10_000  # more parts of a log at once are an error
 
 
 def _path(spark, name):
@@ -63,6 +64,18 @@ def sink_change_log(spark, d):
     return spark.read.parquet(path)
 
 
+@query("""
+SELECT release_no, record_key, status FROM (SELECT release_no, lower(trim(record_key)) AS record_key, lower(trim(status)) AS status FROM link_snapshots) GROUP BY 1, 2, 3
+""")
+def sink_change_log_all(spark, d):
+    """A log that grows by one appended part for each release present."""
+    k = table(spark, d, "link_snapshots").select("release_no", F.lower(F.trim("record_key")).alias("record_key"), F.lower(F.trim("status")).alias("status")).distinct()
+    path = _path(spark, "log")
+    for r in sorted(bounded_rows(k.select("release_no").distinct(), MAX_RELEASES, "releases"), key=lambda r: (r[0] is None, r[0])):
+        sinks.append_log(k.filter(F.col("release_no").eqNullSafe(F.lit(r[0]))), path)
+    return spark.read.parquet(path)
+
+
 @query(f"""
 WITH s AS (SELECT entry_id, contest_id, source, first_seen_at FROM {ENTRIES}), t AS (SELECT * FROM s WHERE source <> 'wdr' UNION ALL SELECT entry_id, contest_id, source, first_seen_at FROM s WHERE source = 'wdr' AND entry_id NOT LIKE '%/C-%')
 SELECT * FROM t

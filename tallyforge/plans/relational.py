@@ -139,6 +139,30 @@ def diff_full_outer(spark, d):
     return R.diff_rows(_release(spark, d, 2), _release(spark, d, 1), ["record_key"], ["status", "method", "wsdc_id"])
 
 
+@query("""
+WITH a AS (SELECT release_no, lower(trim(record_key)) AS record_key, lower(trim(status)) AS status, lower(trim(method)) AS method, wsdc_id FROM (
+ SELECT *, row_number() OVER (PARTITION BY release_no, lower(trim(record_key)) ORDER BY asserted_at DESC NULLS LAST, run_id DESC NULLS LAST) AS _n FROM link_snapshots
+ WHERE (release_no, delivery_no) IN (SELECT release_no, max(delivery_no) FROM link_snapshots GROUP BY 1)) WHERE _n = 1),
+r AS (SELECT before, release_no FROM (SELECT release_no, lag(release_no) OVER (ORDER BY release_no) AS before FROM (SELECT DISTINCT release_no FROM link_snapshots WHERE release_no IS NOT NULL)) WHERE before IS NOT NULL),
+n AS (SELECT a.* FROM a JOIN r USING (release_no)), o AS (SELECT r.release_no, a.record_key, a.status, a.method, a.wsdc_id FROM a JOIN r ON a.release_no = r.before),
+j AS (SELECT concat_ws('|', coalesce(n.release_no, o.release_no), coalesce(n.record_key, o.record_key)) AS record_key, n.release_no AS nk, o.release_no AS ok, n.status AS ns, o.status AS os, n.method AS nm, o.method AS om, n.wsdc_id AS nw, o.wsdc_id AS ow FROM n FULL OUTER JOIN o ON n.release_no = o.release_no AND n.record_key IS NOT DISTINCT FROM o.record_key)
+SELECT record_key, 'added' AS change_type, '' AS field_name, CAST(NULL AS VARCHAR) AS old_value, CAST(NULL AS VARCHAR) AS new_value FROM j WHERE ok IS NULL
+UNION ALL SELECT record_key, 'removed', '', NULL, NULL FROM j WHERE nk IS NULL
+UNION ALL SELECT record_key, 'changed', 'status', os, ns FROM j WHERE nk IS NOT NULL AND ok IS NOT NULL AND os IS DISTINCT FROM ns
+UNION ALL SELECT record_key, 'changed', 'method', om, nm FROM j WHERE nk IS NOT NULL AND ok IS NOT NULL AND om IS DISTINCT FROM nm
+UNION ALL SELECT record_key, 'changed', 'wsdc_id', CAST(ow AS VARCHAR), CAST(nw AS VARCHAR) FROM j WHERE nk IS NOT NULL AND ok IS NOT NULL AND ow IS DISTINCT FROM nw
+""")
+def diff_full_outer_all(spark, d):
+    """Field-level changes of every release against the one before; record_key is release and key."""
+    f = table(spark, d, "link_snapshots")
+    f = f.join(f.groupBy("release_no").agg(F.max("delivery_no").alias("delivery_no")), ["release_no", "delivery_no"], "left_semi")
+    a = R.latest(f.withColumn("record_key", F.lower(F.trim("record_key"))), ["release_no", "record_key"], [F.col("asserted_at"), F.col("run_id")]).select("release_no", "record_key", F.lower(F.trim("status")).alias("status"), F.lower(F.trim("method")).alias("method"), "wsdc_id")
+    r = table(spark, d, "link_snapshots").select("release_no").distinct()
+    steps = r.join(r.select(F.col("release_no").alias("before")), F.col("before") < F.col("release_no")).groupBy("release_no").agg(F.max("before").alias("before"))
+    old = a.withColumnRenamed("release_no", "before").join(steps, "before").drop("before")
+    return R.diff_rows(a.join(steps, "release_no").drop("before"), old, ["release_no", "record_key"], ["status", "method", "wsdc_id"])
+
+
 @query("""
 SELECT 'entries.contest_id' AS reference, count(*) AS n_missing FROM entries e WHERE contest_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM contests c WHERE c.contest_id = e.contest_id)
 UNION ALL SELECT 'placements.leader_entry_id', count(*) FROM placements p WHERE leader_entry_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM entries e WHERE e.entry_id = p.leader_entry_id)
