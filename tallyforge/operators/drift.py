@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
+from json.decoder import scanstring
 
 import numpy as np
 import pandas as pd
@@ -15,25 +17,49 @@ from pyspark.sql import functions as F
 from tallyforge.session import cut
 
 REGISTERS = 1024  # registers of a path's value sketch
-MAX_DEPTH = 200  # nesting from which a line counts as unreadable
 MIN_SCORE = 0.5  # least score of a rename
+VALUE_BITS = 24  # low bits of a register that tell the value; the rest tell the step
+CELLS = 200_000  # sketch cells a worker holds before it hands them over
 # JSON type names by bit.
 TYPES = ["string", "number", "boolean", "array", "object"]
 
 
-def canonical(v) -> str:
-    """A JSON value as text that survives a change of type: 7, 7.0 and "7" agree, as do ["x"] and "x"."""
+def _scalar(v) -> str:
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, (int, float)):
         return str(int(v)) if v == v and abs(v) < 1e18 and v == int(v) else repr(float(v))
-    if isinstance(v, list):
-        return ",".join(canonical(x) for x in v)
-    if isinstance(v, dict):
-        return json.dumps({k: canonical(x) for k, x in v.items()}, sort_keys=True, ensure_ascii=False)
     return "" if v is None else str(v).strip()
 
 
+def canonical(v) -> str:
+    """A JSON value as text that survives a change of type: 7, 7.0 and "7" agree, as do ["x"] and "x". Nesting has no limit."""
+    if not isinstance(v, (list, dict)):
+        return _scalar(v)
+    out, stack = [], [v]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, _Sign):
+            out.append(x)
+        elif isinstance(x, list):
+            stack += [y for item in reversed(x) for y in (item, _COMMA)][:-1]
+        elif isinstance(x, dict):
+            stack.append(_CLOSE)
+            for k in sorted(x, reverse=True):
+                stack += [_COMMA, x[k], _Sign(json.dumps(k, ensure_ascii=False) + ":")]
+            stack.append(_OPEN)
+        else:
+            out.append(_scalar(x))
+    return "".join(out)
+
+
+class _Sign(str):
+    """Punctuation of a canonical text."""
+
+
+_COMMA, _OPEN, _CLOSE = _Sign(","), _Sign("{"), _Sign("}")
+
+
 def type_bit(v) -> int:
     if v is None:
         return 0
@@ -56,56 +82,152 @@ def fields_of(obj: dict, prefix: str = ""):
                 stack.append((path, v))
 
 
-def _depth(body: str) -> int:
-    """The greatest nesting of brackets, at most that of the JSON."""
-    deep = most = 0
-    for c in body:
-        if c in "{[":
-            deep += 1
-            most = max(most, deep)
-        elif c in "}]":
-            deep -= 1
-    return most
+_SPACE = re.compile(r"[ \t\n\r]*")
+_ATOM = re.compile(r"true|false|null|NaN|-?Infinity|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?")
+
+
+def read_deep(text: str):
+    """A JSON text of any nesting, read with a stack of its own. ValueError where it is none."""
+    stack: list = []  # open containers; a dict is followed by the key that waits for its value
+    at, done = 0, None
+    while True:
+        at = _SPACE.match(text, at).end()
+        c = text[at : at + 1]
+        if c == "{" or c == "[":
+            stack.append({} if c == "{" else [])
+            at = _SPACE.match(text, at + 1).end()
+            if text[at : at + 1] == ("}" if c == "{" else "]"):
+                at, done = at + 1, stack.pop()
+            else:
+                if c == "{":
+                    at = _read_key(text, at, stack)
+                continue
+        elif c == '"':
+            done, at = scanstring(text, at + 1)
+        else:
+            m = _ATOM.match(text, at)
+            if not m:
+                raise ValueError("no JSON")
+            done, at = json.loads(m.group()), m.end()
+        while stack:  # the value is whole: it goes into its container, which may be whole, too
+            if isinstance(stack[-1], list):
+                stack[-1].append(done)
+                close = "]"
+            else:
+                key = stack.pop()
+                stack[-1][key] = done
+                close = "}"
+            at = _SPACE.match(text, at).end()
+            c = text[at : at + 1]
+            if c == close:
+                at, done = at + 1, stack.pop()
+            elif c == ",":
+                at += 1
+                if close == "}":
+                    at = _read_key(text, _SPACE.match(text, at).end(), stack)
+                break
+            else:
+                raise ValueError("no JSON")
+        else:
+            if _SPACE.match(text, at).end() != len(text):
+                raise ValueError("more than one JSON value")
+            return done
+
+
+def _read_key(text: str, at: int, stack: list) -> int:
+    if text[at : at + 1] != '"':
+        raise ValueError("no key")
+    key, at = scanstring(text, at + 1)
+    at = _SPACE.match(text, at).end()
+    if text[at : at + 1] != ":":
+        raise ValueError("no value")
+    stack.append(_Key(key))
+    return at + 1
+
+
+class _Key(str):
+    """An object's key that waits for its value."""
 
 
 def readable(body: str | None) -> dict | None:
-    """The object of a line, or None for null, blank, broken or other lines."""
+    """The object of a line, or None for null, blank, broken or other lines. Nesting has no limit."""
     if not body or not body.strip():
         return None
-    if body.count("{") + body.count("[") > MAX_DEPTH and _depth(body) > MAX_DEPTH:
-        return None
     try:
         obj = json.loads(body)
-    except (ValueError, RecursionError):
+    except RecursionError:
+        try:
+            obj = read_deep(body)
+        except ValueError:
+            return None
+    except ValueError:
         return None
     return obj if isinstance(obj, dict) else None
 
 
 def _hash(text: str) -> int:
-    """A signed 64-bit hash, the same on every machine."""
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
+def object_hashes(obj: dict) -> dict[int, int]:
+    """The hash of every object at any depth by its id, from its keys' and their values' hashes, so that nesting costs nothing twice."""
+    order, stack, out = [], [obj], {}
+    while stack:
+        o = stack.pop()
+        order.append(o)
+        stack += [v for v in o.values() if isinstance(v, dict)]
+    for o in reversed(order):
+        out[id(o)] = _hash("{" + ",".join(sorted(f"{k}:{out[id(v)] if isinstance(v, dict) else canonical(v)}" for k, v in o.items())) + "}")
+    return out
 
 
 def _profile_lines(step_field: str):
-    names = ["family", "file_name", "path", "bit", "register", "step_hash", "value_hash"]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    """Sketch cells of lines, reduced per file and path: types, and per register the least of (step hash, value hash) packed in one number."""
+    names = ["family", "file_name", "path", "bits", "registers", "cells"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+
+    def rows(seen: dict) -> pa.RecordBatch:
+        out: list[list] = [[] for _ in names]
+        for (family, file), paths in seen.items():
+            for path, (bits, cells) in paths.items():
+                for column, x in zip(out, (family, file, path, bits, list(cells), list(cells.values()))):
+                    column.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     def run(batches):
+        seen: dict = defaultdict(dict)
+        held = 0
         for batch in batches:
-            out: list[list] = [[] for _ in names]
             for family, file, body in zip(*(batch.column(c).to_pylist() for c in ("family", "file_name", "body"))):
                 obj = readable(body)
                 if obj is None:
                     continue
+                paths = seen[family, file]
                 step = obj.get(step_field)
                 known = step is not None
                 sh = _hash(canonical(step)) if known else 0
-                register = sh % REGISTERS
+                register, high = sh % REGISTERS, (sh >> (VALUE_BITS + 1)) << VALUE_BITS
+                objects = object_hashes(obj) if known else {}
                 for path, v in fields_of(obj):
                     bit = type_bit(v)
-                    for column, x in zip(out, (family, file, path, bit, register if known and bit else -1, sh, _hash(canonical(v)) if bit else 0)):
-                        column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+                    entry = paths.get(path)
+                    if entry is None:
+                        entry = paths[path] = [0, {}]
+                        held += 1 + len(path) // 64
+                    entry[0] |= bit
+                    if known and bit:
+                        vh = objects[id(v)] if bit == 16 else _hash(canonical(v))
+                        cell = high | (vh & ((1 << VALUE_BITS) - 1))
+                        old = entry[1].get(register)
+                        if old is None:
+                            held += 1
+                        if old is None or cell < old:
+                            entry[1][register] = cell
+                    if held > CELLS:
+                        yield rows(seen)
+                        seen.clear()
+                        paths, held = seen[family, file], 0
+        yield rows(seen)
 
     return run
 
@@ -114,12 +236,13 @@ def file_profiles(df: DataFrame, step_field: str = "step") -> DataFrame:
     """Per family, file and path: the JSON types seen and a value sketch, of all readable lines.
 
     A sketch has REGISTERS registers by step hash, each with the least step hash and that step's value hash; two sketches
-    tell on how many common steps two paths agree. Registers are minima, so partial sums bound what is shuffled.
+    tell on how many common steps two paths agree. Registers are minima, taken in the workers and again before the shuffle.
     """
     lines = df.select("family", "file_name", "body").filter(F.col("file_name").isNotNull())
-    cells = lines.mapInArrow(_profile_lines(step_field), "family string, file_name string, path string, bit int, register int, step_hash long, value_hash long")
-    registers = cells.groupBy("family", "file_name", "path", "register").agg(F.bit_or("bit").alias("bits"), F.min(F.struct("step_hash", "value_hash")).alias("m"))
-    entry = F.when(F.col("register") >= 0, F.struct("register", F.col("m.step_hash").alias("step_hash"), F.col("m.value_hash").alias("value_hash")))
+    cells = lines.mapInArrow(_profile_lines(step_field), "family string, file_name string, path string, bits int, registers array<int>, cells array<long>")
+    long = cells.select("family", "file_name", "path", "bits", F.explode_outer(F.arrays_zip("registers", "cells")).alias("c")).select("family", "file_name", "path", "bits", "c.registers", "c.cells")
+    registers = long.groupBy("family", "file_name", "path", "registers").agg(F.bit_or("bits").alias("bits"), F.min("cells").alias("cell"))
+    entry = F.when(F.col("cell").isNotNull(), F.struct(F.col("registers").alias("register"), "cell"))
     return registers.groupBy("family", "file_name", "path").agg(F.bit_or("bits").alias("types"), F.sort_array(F.collect_list(entry)).alias("sketch"))
 
 
@@ -172,32 +295,34 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
 
 def rename_score(old: dict, new: dict) -> float:
     """How well a new path carries on an old one: agreement on common steps, weighed by how telling the values are, and name and type as minor evidence."""
-    a = {s: v for _, s, v in old["sketch"]}
-    b = {s: v for _, s, v in new["sketch"]}
-    common = a.keys() & b.keys()
-    agree = sum(a[s] == b[s] for s in common)
+    a, b = old["sketch"], new["sketch"]
+    common = [r for r in a.keys() & b.keys() if a[r] >> VALUE_BITS == b[r] >> VALUE_BITS]
+    agree = sum(a[r] == b[r] for r in common)
     if not agree:
         return 0.0
-    distinct = len({a[s] for s in common})
+    distinct = len({a[r] & ((1 << VALUE_BITS) - 1) for r in common})
     telling = 1.0 if distinct > 2 else 0.75 if distinct == 2 else 0.6
     name = name_similarity(old["path"], new["path"])
     same_type = bool(old["types"] & new["types"])
     return agree / len(common) * telling * (1 if len(common) > 1 else 0.9) + 0.3 * name + 0.05 * same_type - 0.05
 
 
-def _match_paths(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Renames of one file: gone and new paths matched in pairs at the greatest total score."""
-    rows = [dict(side=r.side, path=r.path, types=r.types, sketch=[(e["register"], e["step_hash"], e["value_hash"]) for e in r.sketch]) for r in pdf.itertuples()]
-    old = sorted((r for r in rows if r["side"] == "removed"), key=lambda r: r["path"])
-    new = sorted((r for r in rows if r["side"] == "added"), key=lambda r: r["path"])
-    out = []
-    if old and new:
-        score = np.array([[rename_score(a, b) for b in new] for a in old])
-        score[score < MIN_SCORE] = 0
-        for i, j in assign(-score):
-            if score[i, j] > 0:
-                out.append((pdf.family.iloc[0], pdf.file_name.iloc[0], old[i]["path"], new[j]["path"], float(score[i, j]), old[i]["types"], new[j]["types"]))
-    return pd.DataFrame(out, columns=["family", "file_name", "old_path", "new_path", "score", "old_types", "new_types"])
+def _match_paths(batches):
+    """Renames of each file: gone and new paths matched in pairs at the greatest total score."""
+    names = ["family", "file_name", "old_path", "new_path", "score", "old_types", "new_types"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32()]
+    for batch in batches:
+        out: list[list] = [[] for _ in names]
+        for family, file, rows in zip(*(batch.column(c).to_pylist() for c in ("family", "file_name", "rows"))):
+            rows = sorted((r | {"sketch": {e["register"]: e["cell"] for e in r["sketch"]}} for r in rows), key=lambda r: r["path"])
+            old, new = [r for r in rows if r["side"] == "removed"], [r for r in rows if r["side"] == "added"]
+            score = np.array([[rename_score(a, b) for b in new] for a in old])
+            score[score < MIN_SCORE] = 0
+            for i, j in assign(-score):
+                if score[i, j] > 0:
+                    for column, x in zip(out, (family, file, old[i]["path"], new[j]["path"], float(score[i, j]), old[i]["types"], new[j]["types"])):
+                        column.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
 
 def schema_changes(df: DataFrame, step_field: str = "step") -> DataFrame:
@@ -216,9 +341,10 @@ def schema_changes(df: DataFrame, step_field: str = "step") -> DataFrame:
     side = F.when(F.col("types").isNull(), "removed").when(F.col("old_types").isNull(), "added").otherwise("retyped")
     changed = cut(pairs.select("family", "file_name", "path", side.alias("side"), F.coalesce("types", "old_types").alias("types"), F.coalesce("sketch", "old_sketch").alias("sketch")), "changed")
     moved = changed.filter("side <> 'retyped'")
-    # Only files that both lost and gained a path can hold a rename.
-    both = moved.groupBy("family", "file_name").agg(F.countDistinct("side").alias("sides")).filter("sides = 2").select("family", "file_name")
-    renames = cut(moved.join(both, ["family", "file_name"], "left_semi").groupBy("family", "file_name").applyInPandas(_match_paths, "family string, file_name string, old_path string, new_path string, score double, old_types int, new_types int"), "renames")
+    # Only files that both lost and gained a path can hold a rename. A number of partitions is named, since AQE would put so few bytes in one task.
+    per_file = moved.groupBy("family", "file_name").agg(F.collect_list(F.struct("side", "path", "types", "sketch")).alias("rows"), F.countDistinct("side").alias("sides")).filter("sides = 2").drop("sides")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    renames = cut(per_file.repartition(tasks, "family", "file_name").mapInArrow(_match_paths, "family string, file_name string, old_path string, new_path string, score double, old_types int, new_types int"), "renames")
     row = lambda path, kind, new, score: F.struct(path.alias("field_path"), F.lit(kind).alias("change_kind"), new.alias("new_path"), score.alias("score"))
     none = F.lit(None).cast("double")
     renamed = renames.select("family", "file_name", F.explode(F.filter(F.array(

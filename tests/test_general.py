@@ -1,9 +1,11 @@
 """Operators on copies, snapshots, references and schemas."""
 
 import json
+
+import pytest
 from datetime import datetime
 
-from tallyforge.operators.drift import schema_changes, unified_rows
+from tallyforge.operators.drift import canonical, object_hashes, read_deep, readable, schema_changes, unified_rows
 from tallyforge.operators.orphans import Parent, Reference, orphan_references, orphan_report
 from tallyforge.operators.snapshots import snapshot_changes
 from tallyforge.operators.twocopy import compare_copies
@@ -94,5 +96,25 @@ def test_schema_drift(spark):
 
 def test_schema_drift_empty_and_nested(spark):
     assert schema_changes(receipts(spark, [])).count() == 0
-    deep = "{" + '"a":{' * 50_000 + "}" * 50_001
-    assert schema_changes(receipts(spark, [[{"step": "1"}], [deep, {"step": "1"}]])).count() == 0
+    deep = "{" + '"a":{' * 3_000 + "}" * 3_001
+    got = schema_changes(receipts(spark, [[{"step": "1"}], [deep, {"step": "1"}]])).collect()
+    assert sorted(r.field_path for r in got) == sorted(".".join("a" * n) for n in range(1, 3_001)) and {r.change_kind for r in got} == {"added"}
+    brackets = {"step": "1", "text": "[{" * 300}
+    assert [r.field_path for r in schema_changes(receipts(spark, [[{"step": "1"}], [brackets]])).collect()] == ["text"]
+
+
+def test_lines_of_any_nesting():
+    """The reader with its own stack agrees with the library on what both can read."""
+    values = [{}, [], {"a": [1, {"b": []}, "x,]}"], "c": {"d": None, "e": -1.5e3, "é\\\"": True}}, [[[]], {"k": {}}], "s", 7, None]
+    for v in values:
+        for text in (json.dumps(v), json.dumps(v, indent=2), json.dumps(v, ensure_ascii=False)):
+            assert read_deep(text) == v
+    for bad in ("{", "[1,]", '{"a" 1}', '{"a":1,}', "[1 2]", "{} {}", '{"a":}', "nul", '{a:1}', "]"):
+        with pytest.raises(ValueError):
+            read_deep(bad)
+    deep = readable("{" + '"a":{' * 50_000 + "}" * 50_001)
+    assert len(object_hashes(deep)) == 50_001
+    nested: list = []
+    for _ in range(50_000):
+        nested = [nested]
+    assert canonical(nested) == "" and canonical(["a", ["b", 7.0], {"k": [1]}]) == 'a,b,7,{"k":1,}'
