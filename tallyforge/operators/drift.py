@@ -19,6 +19,7 @@ from tallyforge.session import cut
 REGISTERS = 1024  # registers of a path's value sketch
 MIN_SCORE = 0.5  # least score of a rename
 VALUE_BITS = 24  # low bits of a register that tell the value; the rest tell the step
+MERGED = 1_024  # input partitions whose sketches of one file and path are merged at once
 CELLS = 200_000  # sketch cells a worker holds before it hands them over
 # JSON type names by bit.
 TYPES = ["string", "number", "boolean", "array", "object"]
@@ -183,16 +184,23 @@ def object_hashes(obj: dict) -> dict[int, int]:
 
 def _profile_lines(step_field: str):
     """Sketch cells of lines, reduced per file and path: types, and per register the least of (step hash, value hash) packed in one number."""
-    names = ["family", "file_name", "path", "bits", "registers", "cells"]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    names = ["family", "file_name", "path", "types", "sketch"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32()]
 
     def rows(seen: dict) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in names]
+        out: list[list] = [[] for _ in kinds]
+        registers, cells, ends = [], [], [0]
         for (family, file), paths in seen.items():
-            for path, (bits, cells) in paths.items():
-                for column, x in zip(out, (family, file, path, bits, list(cells), list(cells.values()))):
+            for path, (bits, sketch) in paths.items():
+                for column, x in zip(out, (family, file, path, bits)):
                     column.append(x)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+                order = sorted(sketch)
+                registers += order
+                cells += map(sketch.__getitem__, order)
+                ends.append(len(registers))
+        entries = pa.StructArray.from_arrays([pa.array(registers, pa.int32()), pa.array(cells, pa.int64())], ["register", "cell"])
+        sketches = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+        return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(out, kinds)), sketches], names)
 
     def run(batches):
         seen: dict = defaultdict(dict)
@@ -235,15 +243,22 @@ def _profile_lines(step_field: str):
 def file_profiles(df: DataFrame, step_field: str = "step") -> DataFrame:
     """Per family, file and path: the JSON types seen and a value sketch, of all readable lines.
 
-    A sketch has REGISTERS registers by step hash, each with the least step hash and that step's value hash; two sketches
-    tell on how many common steps two paths agree. Registers are minima, taken in the workers and again before the shuffle.
+    A sketch has at most REGISTERS registers by step hash, each with the least step hash and that step's value hash; two
+    sketches tell on how many common steps two paths agree. A worker hands over one sketch per file and path. They are
+    merged in two levels, first over MERGED input partitions each, so that no task gathers more than that many sketches.
     """
     lines = df.select("family", "file_name", "body").filter(F.col("file_name").isNotNull())
-    cells = lines.mapInArrow(_profile_lines(step_field), "family string, file_name string, path string, bits int, registers array<int>, cells array<long>")
-    long = cells.select("family", "file_name", "path", "bits", F.explode_outer(F.arrays_zip("registers", "cells")).alias("c")).select("family", "file_name", "path", "bits", "c.registers", "c.cells")
-    registers = long.groupBy("family", "file_name", "path", "registers").agg(F.bit_or("bits").alias("bits"), F.min("cells").alias("cell"))
-    entry = F.when(F.col("cell").isNotNull(), F.struct(F.col("registers").alias("register"), "cell"))
-    return registers.groupBy("family", "file_name", "path").agg(F.bit_or("bits").alias("types"), F.sort_array(F.collect_list(entry)).alias("sketch"))
+    parts = lines.mapInArrow(_profile_lines(step_field), "family string, file_name string, path string, types int, sketch array<struct<register int, cell long>>")
+    key = ["family", "file_name", "path"]
+    return _merged(_merged(parts.withColumn("level", F.expr(f"spark_partition_id() div {MERGED}")), [*key, "level"]), key)
+
+
+def _merged(sketches: DataFrame, key: list[str]) -> DataFrame:
+    """One sketch per key: the least cell of every register, in order."""
+    several = sketches.groupBy(*key).agg(F.bit_or("types").alias("types"), F.collect_list("sketch").alias("all"))
+    return several.withColumn("all", F.when(F.size("all") == 1, F.col("all")[0]).otherwise(F.array_sort(F.flatten("all")))).select(
+        *key, "types", F.expr("filter(all, (x, i) -> i = 0 or x.register <> all[i - 1].register)").alias("sketch")
+    )
 
 
 def file_order(df: DataFrame) -> DataFrame:
