@@ -24,7 +24,6 @@ DELIMITERS = [",", ";", "|", "/", "／", "&", "+", "\t", "\n", "∧"]
 CONJUNCTIONS = ["and", "und", "y", "et"]
 WORD, SHORT, SUFFIX, REMARK, NUMBER, CONJ = "●", "○", "§", "□", "#", "∧"
 MAX_WORDS = 5  # word counts beyond this share one state of the chain
-MAX_EXHAUSTIVE = 5  # fields with more distinct delimiters choose them greedily
 START, END = "^", "$"
 #: Bits of a step never or hardly seen.
 MAX_STEP_BITS = 12.0
@@ -130,13 +129,9 @@ def mask(text: str) -> str:
 
 
 def dialects(shape_text: str) -> list[tuple[frozenset[str], bool, bool]]:
-    """The dialects a shape allows: every set of its delimiters (nested growth beyond MAX_EXHAUSTIVE), quotes, brackets."""
+    """The dialects a shape allows: every set of its delimiters, at most two to the power of their number, with quotes and brackets."""
     present = [d for d in DELIMITERS if d in shape_text]
-    if len(present) <= MAX_EXHAUSTIVE:
-        sets = [frozenset(c) for k in range(len(present) + 1) for c in combinations(present, k)]
-    else:
-        order = sorted(present, key=lambda d: (-shape_text.count(d), DELIMITERS.index(d)))
-        sets = [frozenset(order[:k]) for k in range(len(order) + 1)] + [frozenset([d]) for d in order]
+    sets = [frozenset(c) for k in range(len(present) + 1) for c in combinations(present, k)]
     core = shape_text.strip()
     quotes = [False, True] if '"' in shape_text else [False]
     brackets = [False, True] if core[:1] == "[" and core[-1:] == "]" else [False]
@@ -169,8 +164,18 @@ class ValueCode:
         self.totals: dict[tuple[int, str], float] = defaultdict(float)
         for (words, before, _), n in counts.items():
             self.totals[words, before] += n
+        self._known: dict[str, float] = {}
 
     def bits(self, value: str) -> float:
+        """The bits of a value's shape. Shapes repeat across values and dialects, so they are remembered."""
+        known = self._known.get(value)
+        if known is None:
+            if len(self._known) > 100_000:
+                self._known.clear()
+            known = self._known[value] = self._bits(value)
+        return known
+
+    def _bits(self, value: str) -> float:
         total = 0.0 if WORD in value or SHORT in value else WORDLESS_BITS
         for words, before, sign in steps_of(value):
             n = self.counts.get((words, before, sign), 0.0)

@@ -78,3 +78,14 @@ def test_every_dialect_parses_or_declines(text):
 
 def test_code_without_counts_still_chooses():
     assert ValueCode({}).best("● ●") == (frozenset(), False, False)
+
+
+def test_six_and_more_delimiters_try_every_set(spark):
+    """Commas are the most frequent sign but stand inside "Surname, Given"; only the set without them fits."""
+    people = ["Brook, Ada", "Crane, Ben", "Dell, Cora", "Ember, Dan", "Fox, Eve", "Gale, Finn", "Hart, Gus"]
+    packed = "".join(p + d for p, d in zip(people, [" / ", "; ", " | ", " & ", " + ", "\t", ""]))
+    plain = [", ".join(reversed(n.split())) for n in NAMES] * 40
+    shown = background() + plain
+    df = column(spark, shown, [("x", packed, "leader", 1)])
+    assert values(split_packed(df, ["entry_id"], ["name_raw"]).collect(), "x") == people
+    assert len(dialects(",;|/&+\t\n")) == 2 ** 8
