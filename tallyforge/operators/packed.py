@@ -165,6 +165,7 @@ class ValueCode:
         for (words, before, _), n in counts.items():
             self.totals[words, before] += n
         self._known: dict[str, float] = {}
+        self.chosen: dict[str, tuple] = {}
 
     def bits(self, value: str) -> float:
         """The bits of a value's shape. Shapes repeat across values and dialects, so they are remembered."""
@@ -216,7 +217,7 @@ def _count_steps(pieces: Iterable[tuple[str, str, float]], code: dict[str, Value
 
 
 def learn_codes(long: DataFrame, rounds: int = 2) -> dict[str, ValueCode]:
-    """Value codes per field from a table (field_name, text), over all its rows.
+    """Value codes per field from a table (field_name, text) or (field_name, shape), over all its rows.
 
     The first round counts every parse of a field, weighed by the delimiters it leaves inside values; the next ones count
     its cheapest parse so far.
@@ -224,8 +225,7 @@ def learn_codes(long: DataFrame, rounds: int = 2) -> dict[str, ValueCode]:
     parallel. What reaches the driver is the chain: at most classes squared times MAX_WORDS rows a field, whatever the data.
     """
     shapes = (
-        long.filter(F.col("text").isNotNull())
-        .select("field_name", shape(F.col("text")).alias("shape"))
+        (long if "shape" in long.columns else long.select("field_name", shape(F.col("text")).alias("shape"))).filter(F.col("shape").isNotNull())
         .groupBy("field_name", "shape").agg(F.count("*").cast("double").alias("n"))
         .filter(F.length(F.trim("shape")) > 0)
         .persist()
@@ -311,6 +311,10 @@ def split_packed(df: DataFrame, key: list[str], fields: list[str], version: str
 
 
 def is_packed(text: str, form: str, code: ValueCode) -> bool:
-    """Whether one field holds two or more values under its cheapest dialect."""
-    dialect = code.best(form)
+    """Whether one field holds two or more values under its cheapest dialect. Shapes repeat, so their dialects are remembered."""
+    dialect = code.chosen.get(form)
+    if dialect is None:
+        if len(code.chosen) > 100_000:
+            code.chosen.clear()
+        dialect = code.chosen[form] = code.best(form)
     return bool(dialect[0]) and len(parse(text, mask(text), dialect) or []) > 1
