@@ -7,14 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-# Printed callback marks, what they mean and what they count.
-MARKS = {
-    "y": ("yes", 10.0), "yes": ("yes", 10.0), "10": ("yes", 10.0), "1": ("yes", 10.0),
-    "a1": ("alt1", 4.5), "alt1": ("alt1", 4.5), "4.5": ("alt1", 4.5), "2.1": ("alt1", 4.5),
-    "a2": ("alt2", 4.3), "alt2": ("alt2", 4.3), "4.3": ("alt2", 4.3), "2.2": ("alt2", 4.3),
-    "a3": ("alt3", 4.2), "alt3": ("alt3", 4.2), "4.2": ("alt3", 4.2), "2.3": ("alt3", 4.2),
-    "n": ("no", 0.0), "no": ("no", 0.0), "0": ("no", 0.0), "3": ("no", 0.0),
-}
+# Printed callback marks, what they mean and what they count. Numbers count however they are written.
+MARK_WORDS = {"y": "yes", "yes": "yes", "a1": "alt1", "alt1": "alt1", "a2": "alt2", "alt2": "alt2", "a3": "alt3", "alt3": "alt3", "n": "no", "no": "no"}
+MARK_NUMBERS = {10.0: "yes", 1.0: "yes", 4.5: "alt1", 2.1: "alt1", 4.3: "alt2", 2.2: "alt2", 4.2: "alt3", 2.3: "alt3", 0.0: "no", 3.0: "no"}
+MARK_VALUES = {"yes": 10.0, "alt1": 4.5, "alt2": 4.3, "alt3": 4.2, "no": 0.0}
 # Points of the first five places by field size, least and greatest.
 TIERS = [
     (5, 10, (3, 2, 1, 0, 0)),
@@ -34,17 +30,23 @@ def _lookup(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
+def _meant(raw: Column) -> Column:
+    """What a mark means, null where it is unknown."""
+    word = F.lower(F.trim(raw))
+    return F.coalesce(F.try_element_at(_lookup(MARK_WORDS), word), F.try_element_at(_lookup(MARK_NUMBERS), word.try_cast("double")))
+
+
 def mark_kind(raw: Column) -> Column:
     """yes, alt1-3 or no; unknown marks count as no."""
-    return F.coalesce(F.try_element_at(_lookup({k: v[0] for k, v in MARKS.items()}), F.lower(F.trim(raw))), F.lit("no"))
+    return F.coalesce(_meant(raw), F.lit("no"))
 
 
 def mark_value(raw: Column) -> Column:
-    return F.coalesce(F.try_element_at(_lookup({k: v[1] for k, v in MARKS.items()}), F.lower(F.trim(raw))), F.lit(0.0))
+    return F.element_at(_lookup(MARK_VALUES), mark_kind(raw))
 
 
 def known_mark(raw: Column) -> Column:
-    return F.coalesce(F.lower(F.trim(raw)).isin(*MARKS), F.lit(False))
+    return _meant(raw).isNotNull()
 
 
 def expected_points(competitors: Column, place: Column) -> Column:

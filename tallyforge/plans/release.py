@@ -152,10 +152,13 @@ def event_points(spark, d):
 @query()
 def canonical_bodies(spark, d):
     """A digest of every readable line that ignores the order of keys and blanks: equal content, equal digest."""
-    from tallyforge.operators.drift import canonical, readable
+    from tallyforge.operators.drift import readable
 
     def run(batches):
         import hashlib
+        import json
+
+        canonical = lambda body: json.dumps(body, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
         for pdf in batches:
             body = [readable(b) for b in pdf["body"]]

@@ -11,7 +11,7 @@ from tallyforge.session import table
 
 query = Queries()
 
-_PLAIN = f"translate(lower(translate({{c}}, '{text.MARKED}', '{text.PLAIN}')), '{text.MARKED}', '{text.PLAIN}')"
+_PLAIN = "replace(lower(strip_accents({c})), 'ß', 'ss')"
 _SLUG = "coalesce(nullif(trim(regexp_replace(" + _PLAIN + ", '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown')"
 
 
@@ -29,7 +29,7 @@ def text_series_slug(spark, d):
 
 @query(f"""
 WITH w AS (SELECT DISTINCT first_name || ' ' || last_name AS name FROM dancers WHERE first_name IS NOT NULL AND last_name IS NOT NULL),
-s AS (SELECT name, [x FOR x IN string_split(regexp_replace({_PLAIN.format(c='name')}, '[^a-z0-9]+', ' ', 'g'), ' ') IF x <> ''] AS t FROM w)
+s AS (SELECT name, [x FOR x IN string_split(regexp_replace({_PLAIN.format(c='name')}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') IF x <> ''] AS t FROM w)
 SELECT name, array_to_string(CASE WHEN len(t) > 0 AND t[-1] IN ('jr', 'sr', 'ii', 'iii') THEN t[1:len(t) - 1] ELSE t END, ' ') AS norm FROM s
 """)
 def text_name_norm(spark, d):
@@ -145,13 +145,11 @@ def timing_intervals(spark, d):
     return table(spark, d, "events").select("user_id", gap.alias("gap")).groupBy("user_id").agg(F.sum("gap").alias("active_s"), F.count("*").alias("n"))
 
 
-_MARKS = "(VALUES " + ", ".join(f"('{k}', '{v[0]}', {v[1]})" for k, v in scoring.MARKS.items()) + ") AS m(raw, kind, value)"
-
-
 @query(f"""
-WITH t AS (SELECT placement_id, CAST(unnest(tally) AS VARCHAR) AS raw FROM {PLACEMENTS})
-SELECT placement_id, coalesce(sum(coalesce(m.value, 0.0)), 0) AS score_sum, count(*) FILTER (WHERE coalesce(m.kind, 'no') = 'yes') AS yes_count, count(*) FILTER (WHERE coalesce(m.kind, 'no') LIKE 'alt%') AS alt_count, count(*) FILTER (WHERE m.raw IS NULL) AS unknown_count
-FROM t LEFT JOIN {_MARKS} ON m.raw = t.raw GROUP BY 1
+WITH t AS (SELECT placement_id, CAST(unnest(tally) AS VARCHAR) AS raw FROM {PLACEMENTS}),
+m AS (SELECT placement_id, CASE CAST(raw AS DOUBLE) WHEN 10 THEN 'yes' WHEN 1 THEN 'yes' WHEN 4.5 THEN 'alt1' WHEN 2.1 THEN 'alt1' WHEN 4.3 THEN 'alt2' WHEN 2.2 THEN 'alt2' WHEN 4.2 THEN 'alt3' WHEN 2.3 THEN 'alt3' WHEN 0 THEN 'no' WHEN 3 THEN 'no' END AS kind FROM t)
+SELECT placement_id, sum(CASE kind WHEN 'yes' THEN 10.0 WHEN 'alt1' THEN 4.5 WHEN 'alt2' THEN 4.3 WHEN 'alt3' THEN 4.2 ELSE 0.0 END) AS score_sum, count(*) FILTER (WHERE kind = 'yes') AS yes_count, count(*) FILTER (WHERE kind LIKE 'alt%') AS alt_count, count(*) FILTER (WHERE kind IS NULL) AS unknown_count
+FROM m GROUP BY 1
 """)
 def mark_sums(spark, d):
     """Marks by meaning and value, summed per placement."""

@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[int, str] = {}
 
@@ -61,8 +60,3 @@ def bounded_rows(df: DataFrame, bound: int, what: str) -> list:
     if len(rows) > bound:
         raise ValueError(f"{what}: more than {bound} rows")
     return rows
-
-
-def small_or_none(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """df marked for broadcast if it has at most max_rows rows, else None."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
