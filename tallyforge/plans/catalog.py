@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallyforge.plans import aggregates, audits, incremental, quality, relational, release, resolution, scans, temporal, textual, training, vocabulary
+from tallyforge.plans import aggregates, audits, incremental, projection, quality, relational, release, resolution, scans, temporal, textual, training, vocabulary
 
-MODULES = [training, relational, aggregates, textual, quality, resolution, scans, incremental, release, vocabulary, audits, temporal]
+MODULES = [training, relational, aggregates, textual, quality, resolution, scans, incremental, release, vocabulary, audits, temporal, projection]
 
 
 def queries() -> dict:
