@@ -345,25 +345,6 @@ def year_universe(spark, d):
     return a.union(b).union(c).distinct()
 
 
-@query("""
-SELECT record_key FROM (SELECT lower(trim(record_key)) AS record_key FROM link_snapshots WHERE release_no = 1 EXCEPT SELECT lower(trim(record_key)) FROM link_snapshots WHERE release_no = 2)
-""")
-def removed_ids(spark, d):
-    """Keys of the first release that the second lacks."""
-    k = table(spark, d, "link_snapshots").select("release_no", F.lower(F.trim("record_key")).alias("record_key"))
-    return k.filter("release_no = 1").select("record_key").subtract(k.filter("release_no = 2").select("record_key"))
-
-
-@query("""
-WITH g AS (SELECT lower(trim(status)) AS status, lower(trim(method)) AS method, sum(CASE release_no WHEN 1 THEN 1 ELSE -1 END) AS n_missing FROM link_snapshots WHERE release_no IN (1, 2) GROUP BY 1, 2)
-SELECT status, method, n_missing FROM g WHERE n_missing > 0
-""")
-def multiset_gaps(spark, d):
-    """Status and method pairs that a release holds less often than the one before."""
-    k = table(spark, d, "link_snapshots").select("release_no", F.lower(F.trim("status")).alias("status"), F.lower(F.trim("method")).alias("method"))
-    return R.multiset_gap(k.filter("release_no = 1"), k.filter("release_no = 2"), ["status", "method"])
-
-
 _STEPS = "(SELECT before, release_no FROM (SELECT release_no, lag(release_no) OVER (ORDER BY release_no) AS before FROM (SELECT DISTINCT release_no FROM link_snapshots WHERE release_no IS NOT NULL)) WHERE before IS NOT NULL)"
 
 

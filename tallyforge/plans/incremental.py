@@ -52,18 +52,6 @@ def sink_by_content(spark, d):
     return spark.read.parquet(first)
 
 
-@query("""
-SELECT release_no, record_key, status FROM (SELECT release_no, lower(trim(record_key)) AS record_key, lower(trim(status)) AS status FROM link_snapshots WHERE release_no <= 2) GROUP BY 1, 2, 3
-""")
-def sink_change_log(spark, d):
-    """A log that grows by appended parts."""
-    k = table(spark, d, "link_snapshots").select("release_no", F.lower(F.trim("record_key")).alias("record_key"), F.lower(F.trim("status")).alias("status")).distinct()
-    path = _path(spark, "log")
-    for n in (1, 2):
-        sinks.append_log(k.filter(F.col("release_no") == n), path)
-    return spark.read.parquet(path)
-
-
 @query("""
 SELECT release_no, record_key, status FROM (SELECT release_no, lower(trim(record_key)) AS record_key, lower(trim(status)) AS status FROM link_snapshots) GROUP BY 1, 2, 3
 """)

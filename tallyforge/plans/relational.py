@@ -115,30 +115,6 @@ def join_registry_confirmation(spark, d):
     return j.filter((F.col("result") == F.col("place").cast("string")) | (F.col("result") == "F")).select("placement_id", "wsdc_id", "role", "points").distinct()
 
 
-def _release(spark, d, n):
-    f = table(spark, d, "link_snapshots").filter(F.col("release_no") == n)
-    f = f.join(f.agg(F.max("delivery_no").alias("delivery_no")), "delivery_no", "left_semi")
-    return R.latest(f.withColumn("record_key", F.lower(F.trim("record_key"))), ["record_key"], [F.col("asserted_at"), F.col("run_id")]).select("record_key", F.lower(F.trim("status")).alias("status"), F.lower(F.trim("method")).alias("method"), "wsdc_id")
-
-
-_REL = """(SELECT lower(trim(record_key)) AS record_key, lower(trim(status)) AS status, lower(trim(method)) AS method, wsdc_id FROM (
- SELECT *, row_number() OVER (PARTITION BY lower(trim(record_key)) ORDER BY asserted_at DESC NULLS LAST, run_id DESC NULLS LAST) AS _n FROM link_snapshots
- WHERE release_no = {n} AND delivery_no = (SELECT max(delivery_no) FROM link_snapshots WHERE release_no = {n})) WHERE _n = 1)"""
-
-
-@query("""
-WITH n AS {new}, o AS {old}, j AS (SELECT coalesce(n.record_key, o.record_key) AS record_key, n.record_key AS nk, o.record_key AS ok, n.status AS ns, o.status AS os, n.method AS nm, o.method AS om, n.wsdc_id AS nw, o.wsdc_id AS ow FROM n FULL OUTER JOIN o ON n.record_key IS NOT DISTINCT FROM o.record_key)
-SELECT record_key, 'added' AS change_type, '' AS field_name, CAST(NULL AS VARCHAR) AS old_value, CAST(NULL AS VARCHAR) AS new_value FROM j WHERE ok IS NULL
-UNION ALL SELECT record_key, 'removed', '', NULL, NULL FROM j WHERE nk IS NULL
-UNION ALL SELECT record_key, 'changed', 'status', os, ns FROM j WHERE nk IS NOT NULL AND ok IS NOT NULL AND os IS DISTINCT FROM ns
-UNION ALL SELECT record_key, 'changed', 'method', om, nm FROM j WHERE nk IS NOT NULL AND ok IS NOT NULL AND om IS DISTINCT FROM nm
-UNION ALL SELECT record_key, 'changed', 'wsdc_id', CAST(ow AS VARCHAR), CAST(nw AS VARCHAR) FROM j WHERE nk IS NOT NULL AND ok IS NOT NULL AND ow IS DISTINCT FROM nw
-""".replace("{new}", _REL.format(n=2)).replace("{old}", _REL.format(n=1)))
-def diff_full_outer(spark, d):
-    """Field-level changes between two releases, null-safe on keys and values."""
-    return R.diff_rows(_release(spark, d, 2), _release(spark, d, 1), ["record_key"], ["status", "method", "wsdc_id"])
-
-
 @query("""
 WITH a AS (SELECT release_no, lower(trim(record_key)) AS record_key, lower(trim(status)) AS status, lower(trim(method)) AS method, wsdc_id FROM (
  SELECT *, row_number() OVER (PARTITION BY release_no, lower(trim(record_key)) ORDER BY asserted_at DESC NULLS LAST, run_id DESC NULLS LAST) AS _n FROM link_snapshots

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import text
@@ -11,7 +12,7 @@ from tallyforge.operators.release import Table, build_release, check_tables, clo
 from tallyforge.plans.registry import Queries
 from tallyforge.plans.relational import CONTESTS, DANCERS, ENTRIES, EVENTS, PLACEMENTS, _once
 from tallyforge.plans.textual import _PLAIN
-from tallyforge.session import shared_dir, table
+from tallyforge.session import bounded_rows, cut, shared_dir, table
 
 query = Queries()
 
@@ -55,15 +56,40 @@ def release_build(spark, d):
     return build_release(t, f"{shared_dir(spark)}/tallyforge/release-{uuid.uuid4().hex}", before).select("table_name", "n_rows", "n_changes")
 
 
-@query("""
-WITH k AS (SELECT DISTINCT release_no, lower(trim(record_key)) AS record_key FROM link_snapshots WHERE lower(trim(status)) = 'ambiguous'), r AS (SELECT DISTINCT record_key FROM k WHERE release_no IN (1, 2))
-SELECT record_key, CASE WHEN record_key IN (SELECT record_key FROM k WHERE release_no = 1) THEN 1 ELSE 2 END AS opened_at, CASE WHEN record_key NOT IN (SELECT record_key FROM k WHERE release_no = 2) THEN 2 END AS closed_at FROM r
-""")
+_SPANS = """
+WITH r AS (SELECT release_no, row_number() OVER (ORDER BY release_no) AS i FROM (SELECT DISTINCT release_no FROM link_snapshots WHERE release_no IS NOT NULL)),
+k AS (SELECT DISTINCT lower(trim(record_key)) AS record_key, i FROM link_snapshots JOIN r USING (release_no) WHERE lower(trim(status)) = 'ambiguous' AND record_key IS NOT NULL),
+g AS (SELECT record_key, i, i - row_number() OVER (PARTITION BY record_key ORDER BY i) AS island FROM k), s AS (SELECT record_key, min(i) AS a, max(i) AS b FROM g GROUP BY record_key, island)
+"""
+
+
+@query(_SPANS + "SELECT record_key, o.release_no AS opened_at, c.release_no AS closed_at FROM s JOIN r o ON o.i = a LEFT JOIN r c ON c.i = b + 1")
+def findings_spans(spark, d):
+    """When each finding opened and closed, over the runs of all releases; one that comes back opens again.
+
+    Numbering the releases needs all of them in one place, but they are few: one row a release.
+    """
+    s = table(spark, d, "link_snapshots").filter("release_no is not null")
+    runs = s.select("release_no").distinct().withColumn("i", F.row_number().over(Window.orderBy("release_no")))
+    k = s.filter((F.lower(F.trim("status")) == "ambiguous") & F.col("record_key").isNotNull()).select("release_no", F.lower(F.trim("record_key")).alias("record_key")).distinct().join(F.broadcast(runs), "release_no")
+    island = F.col("i") - F.row_number().over(Window.partitionBy("record_key").orderBy("i"))
+    spans = k.withColumn("island", island).groupBy("record_key", "island").agg(F.min("release_no").alias("opened_at"), F.max("i").alias("last"))
+    after = runs.select((F.col("i") - 1).alias("last"), F.col("release_no").alias("closed_at"))
+    return spans.join(F.broadcast(after), "last", "left").select("record_key", "opened_at", "closed_at")
+
+
+@query(_SPANS + ", l AS (SELECT record_key, max(a) AS a, max(b) AS b FROM s GROUP BY 1) SELECT record_key, o.release_no AS opened_at, c.release_no AS closed_at FROM l JOIN r o ON o.i = a LEFT JOIN r c ON c.i = b + 1")
 def findings_open_close(spark, d):
-    """Findings of two runs: which stay open, close or open."""
-    k = table(spark, d, "link_snapshots").filter(F.lower(F.trim("status")) == "ambiguous").select("release_no", F.lower(F.trim("record_key")).alias("record_key")).distinct()
-    stored = k.filter("release_no = 1").select("record_key", F.lit(1).alias("opened_at"), F.lit(None).cast("int").alias("closed_at"))
-    return replace_findings(stored, k.filter("release_no = 2"), ["record_key"], F.lit(2))
+    """The stored findings after the run of every release: which are open, since when, and when the others closed.
+
+    Releases are few; each run's state is written, so that plans do not grow with them.
+    """
+    k = table(spark, d, "link_snapshots").filter("record_key is not null and release_no is not null")
+    found = k.filter(F.lower(F.trim("status")) == "ambiguous").select("release_no", F.lower(F.trim("record_key")).alias("record_key"))
+    stored = spark.createDataFrame([], "record_key string, opened_at int, closed_at int")
+    for (n,) in sorted(tuple(r) for r in bounded_rows(k.select("release_no").distinct(), 10_000, "releases")):
+        stored = cut(replace_findings(stored, found.filter(F.col("release_no") == n), ["record_key"], F.lit(n)), "findings")
+    return stored
 
 
 _WORDS = "trim(regexp_replace(" + _PLAIN + ", '[^a-z0-9]+', ' ', 'g'))"
@@ -174,8 +200,6 @@ SELECT file_name, total <= 60 AS admitted FROM q
 """)
 def intake_backpressure(spark, d):
     """Files of each family that fit a budget of lines, oldest first."""
-    from pyspark.sql import Window
-
     s = table(spark, d, "raw_receipts").groupBy("family", "file_name").agg(F.min("recorded_at").alias("t0"), F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy("family").orderBy("t0", "file_name").rowsBetween(Window.unboundedPreceding, 0))
     return s.select("file_name", (total <= 60).alias("admitted"))
