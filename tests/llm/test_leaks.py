@@ -73,13 +73,77 @@ def test_verbatim_matches_equal_brute_force():
     assert got == want
 
 
-def test_chunks_and_kept(spark, monkeypatch):
+def test_recall_by_pattern_of_edits():
+    """Passages with one word in six changed, left out or put in, at any places, neighbouring ones included."""
+    rng = random.Random(5)
+    item = np.arange(1, 61)
+    for n, changed in ((21, (6, 7, 14)), (21, (5, 6, 14)), (21, (6, 7, 15)), (24, (6, 7, 19, 20)), (18, (3, 9, 15)), (18, (4, 8, 12))):
+        a = item[:n].copy()
+        a[np.array(changed) - 1] = 0
+        assert L.judge(np.concatenate([np.zeros(30, int), a, np.zeros(30, int)]), item), (n, changed)
+    held = total = 0
+    for n in (21, 24, 30, 40):
+        for kind in ("changed", "left out", "put in"):
+            for _ in range(60):
+                start = rng.randrange(60 - n)
+                words = list(item[start : start + n])
+                for at in sorted(rng.sample(range(1, n - 1), n // 7), reverse=True):
+                    if kind == "changed":
+                        words[at] = 0
+                    elif kind == "left out":
+                        del words[at]
+                    else:
+                        words.insert(at, 0)
+                total += 1
+                held += L.judge(np.array([0] * 40 + words + [0] * 40), item) is not None
+    assert held / total > 0.97
+    assert all(L.judge(np.array([0] * 40 + list(item[k : k + 13]) + [0] * 40), item) is None for k in range(40))
+
+
+def test_match_of_many_words_and_long_items():
+    """Ranks double to the full depth; an item of 30,000 words needs no table of its square."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    item = rng.choices(range(1, 5_000), k=30_000)
+    index = L.TestIndex([(1, [str(w) for w in item])])
+    word = {str(w): index.vocabulary[str(w)] for w in set(item)}
+    ids = np.array([0] * 5 + [word[str(w)] for w in item[100:9_100]] + [0] * 5)
+    doc, _, c, t, n = L.verbatim(index, ids, np.zeros(len(ids), dtype=np.int64))
+    assert (5, 100, 9_000) in set(zip(c.tolist(), t.tolist(), n.tolist()))
+    part = index.words[0][7_000:7_030].copy()
+    part[[5, 6, 14, 22]] = 0
+    doc = np.concatenate([np.zeros(2_000, dtype=np.int64), part, np.zeros(2_000, dtype=np.int64)])
+    tracemalloc.start()
+    assert L.judge(doc, index.words[0], np.array([2_007]), np.array([7_007]))[:3] == (30, 26, 4)
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+
+
+def test_scores_of_many_pairs():
+    rng = random.Random(8)
+    pairs = [(np.array(rng.choices(range(5), k=rng.randint(1, 16))), np.array(rng.choices(range(5), k=rng.randint(1, 12)))) for _ in range(40)]
+
+    def score(a, b):
+        runs = L.align(a, b)
+        return sum(r[2] for r in runs) - sum(max(y[0] - x[0] - x[2], y[1] - x[1] - x[2]) for x, y in zip(runs, runs[1:]))
+
+    one, two = L.best_scores(pairs)
+    assert one.tolist() == [score(a, b) for a, b in pairs]
+    assert two.tolist() == [max(score(a[:i], b[:j]) + score(a[i:], b[j:]) for i in range(len(a) + 1) for j in range(len(b) + 1)) for a, b in pairs]
+
+
+def test_passage_across_chunks_and_tiles(monkeypatch):
     rng = random.Random(9)
-    a, b = np.array(rng.choices(range(1, 50), k=3000)), np.array(rng.choices(range(1, 50), k=60))
-    a[2000:2060] = b
-    whole = L.judge(a, b)
-    monkeypatch.setattr(L, "CHUNK", 500)
-    assert L.judge(a, b)[:2] == whole[:2]
+    a, b = np.array(rng.choices(range(1, 50), k=3000)), np.array(rng.choices(range(60, 4000), k=600))
+    for at in (490, 740, 990):
+        x, part = a.copy(), b[at // 3 : at // 3 + 40].copy()
+        part[[5, 13, 20, 28]] = 1
+        x[at : at + 40] = part
+        assert L.judge(x, b)[:3] == (40, 36, 4)
+
+
+def test_documents_kept(spark):
     docs = spark.createDataFrame([(1,), (2,), (2,)], "doc_id long")
     assert [r.doc_id for r in L.without_leaks(docs, spark.createDataFrame([(2, 5)], "doc_id long, item_id long")).collect()] == [1]
 
