@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.packed import ValueCode, is_packed, learn_codes, shape
-from tallyforge.session import bounded_rows
+from tallyforge.session import bounded_rows, cut
 
 # Words that belong to the surname after them, suffixes, and letters without a decomposition.
 PARTICLES = frozenset("de la las los del della di da do dos du des le van der den ten ter von zu zum af av".split())
@@ -42,7 +42,7 @@ def fold(token: str) -> str:
 
 
 def _words(text: str) -> list[str]:
-    """Folded words with particles joined to the word after them; an abbreviation ends in `*`."""
+    """Folded words with particles joined by a hyphen to the word after them; an abbreviation ends in `*`."""
     out, lead = [], ""
     for raw in text.split():
         w = fold(raw)
@@ -53,7 +53,7 @@ def _words(text: str) -> list[str]:
         if w in PARTICLES:
             lead += w
             continue
-        out.append(lead + w + ("*" if short or len(lead + w) == 1 else ""))
+        out.append((lead + "-" if lead else "") + w + ("*" if short or len(lead + w) == 1 else ""))
         lead = ""
     if lead:
         out.append(lead)
@@ -124,12 +124,10 @@ def single_names(names: DataFrame) -> DataFrame:
 
     `names` has name_raw; null and blank names are left out. Fields of several persons are told by the packed-field operator.
     """
-    counted = names.filter(F.length(F.trim("name_raw")) > 0).groupBy("name_raw").agg(F.count("*").alias("n")).persist()
-    try:
-        code = learn_codes(counted.select(F.lit("name").alias("field_name"), F.col("name_raw").alias("text"))).get("name")
-    finally:
-        counted.unpersist()
-    return counted.withColumn("shape", shape(F.col("name_raw"))).mapInPandas(_read(code), "name_raw string, n long, x string, y string, hx string, hy string, given string")
+    counted = names.filter(F.length(F.trim("name_raw")) > 0).groupBy("name_raw").agg(F.count("*").alias("n"))
+    counted = cut(counted.withColumn("shape", shape(F.col("name_raw"))), "printed")
+    code = learn_codes(counted.select(F.lit("name").alias("field_name"), "shape")).get("name")
+    return counted.mapInPandas(_read(code), "name_raw string, n long, x string, y string, hx string, hy string, given string")
 
 
 def _starred(c):
@@ -159,6 +157,7 @@ def _one_slip(a, b):
 MIN_SLIP = 4  # letters of the shortest word that may hold a slip
 MAX_NICKNAMES = 10_000
 LONG_WORD = 60  # letters from which a word's slips are looked up by its ends
+MAX_START = 2  # letters of the starts that short forms are looked up by
 MAX_BARE = 5  # letters of the longest short form without a dot
 
 
@@ -174,63 +173,113 @@ def word_slips(sources: DataFrame, targets: DataFrame) -> DataFrame:
     return met.filter((F.col("a") != F.col("b")) & apart).select("a", "b").distinct()
 
 
-def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, slips: DataFrame, both: bool = False) -> DataFrame:
-    """(form, target, kind, a, b, two): forms of one person perhaps, with the two words they differ in.
-
-    Kinds: short (a given name's first letters), nick (a nickname and its owner), slip (one typing slip in one part), half
-    (one half of a double name); if `both`, also long (the target is the short form) and nick either way. The other parts are
-    equal, or, where `two` is true, one typing slip apart as well. Everything meets in one join on whole keys, each the
-    target's other part together with what its word is known by: its first letter, a nickname's owner, itself, or a half.
-    Both tables have x, y, hx, hy; `slips` has the word_slips that count.
-    The nickname table belongs to a language and is small; more than MAX_NICKNAMES is an error.
-    """
+def nickname_owners(nicknames: DataFrame) -> dict[str, list[str]]:
+    """The owners of each nickname. The table belongs to a language and is small; more than MAX_NICKNAMES is an error."""
     owners: dict[str, list[str]] = {}
     for r in bounded_rows(nicknames.select(F.lower("nickname"), F.lower("canonical")).filter("nickname is not null and canonical is not null").distinct(), MAX_NICKNAMES, "nicknames"):
         owners.setdefault(r[0], []).append(r[1])
-    owner_of = F.create_map(*[c for k, v in sorted(owners.items()) for c in (F.lit(k), F.array(*[F.lit(x) for x in sorted(v)]))]) if owners else None
-    none = F.array().cast("array<string>")
+    return owners
+
+
+def _none():
+    return F.array().cast("array<string>")
+
+
+def _only(cond, value):
+    return F.when(cond, value).otherwise(_none())
+
+
+def _owners_of(owners: dict[str, list[str]], c: str):
+    if not owners:
+        return _none()
+    table = F.create_map(*[x for k, v in sorted(owners.items()) for x in (F.lit(k), F.array(*[F.lit(o) for o in sorted(v)]))])
+    return F.coalesce(F.try_element_at(table, F.col(c)), _none())
+
+
+def _start_of(c: str):
+    """The first letters by which a short form is looked up."""
+    return F.array(F.substring(F.rtrim(F.col(c), F.lit("*")), 1, MAX_START))
+
+
+def _parts(df: DataFrame, name: str, word: str, other: str) -> DataFrame:
+    """Either part of each form as `word` beside the other one, which is no abbreviation."""
+    part = lambda w, o, h: F.struct(F.col(w).alias(word), F.col(o).alias(other), F.col(h).alias("h"))
+    both = df.filter((F.col("x") != "") & (F.col("y") != "")).select(F.concat_ws("|", "x", "y").alias(name), F.explode(F.array(part("x", "y", "hx"), part("y", "x", "hy"))).alias("p"))
+    return both.select(name, "p.*").filter(~_starred(other))
 
-    def parts(df: DataFrame, name: str, word: str, other: str) -> DataFrame:
-        part = lambda w, o, h: F.struct(F.col(w).alias(word), F.col(o).alias(other), F.col(h).alias("h"))
-        both = df.filter((F.col("x") != "") & (F.col("y") != "")).select(F.concat_ws("|", "x", "y").alias(name), F.explode(F.array(part("x", "y", "hx"), part("y", "x", "hy"))).alias("p"))
-        return both.select(name, "p.*").filter(~_starred(other))
-
-    def keyed(df: DataFrame, other: str, pieces: dict) -> DataFrame:
-        tag = lambda kind: lambda piece: F.struct(F.lit(kind).alias("kind"), piece.alias("piece"))
-        known = F.array_distinct(F.concat(*[F.transform(v, tag(k)) for k, v in pieces.items()]))
-        return df.withColumn("k", F.explode(known)).withColumn("key", F.xxhash64("k.kind", other, "k.piece")).withColumn("kind", F.col("k.kind")).drop("k", "h")
-
-    only = lambda cond, value: F.when(cond, value).otherwise(none)
-    s, t = parts(sources, "form", "word", "other"), parts(targets, "target", "t_word", "t_other").filter(~_starred("t_word"))
-    full = ~_starred("word")
-    letter = lambda c: F.array(F.substring(c, 1, 1))
-    owners = lambda c: F.coalesce(F.try_element_at(owner_of, F.col(c)), none) if owner_of is not None else none
-    itself_and = lambda c, more: F.concat(F.array(c), more) if both else more
+
+def _keyed(df: DataFrame, other: str, pieces: dict) -> DataFrame:
+    """One row per key of each part: the kind, the other part, and a piece of what the word is known by."""
+    tag = lambda kind: lambda piece: F.struct(F.lit(kind).alias("kind"), piece.alias("piece"))
+    known = F.array_distinct(F.concat(*[F.transform(v, tag(k)) for k, v in pieces.items()]))
+    return df.withColumn("k", F.explode(known)).withColumn("key", F.xxhash64("k.kind", other, "k.piece")).withColumn("kind", F.col("k.kind")).drop("k", "h")
+
+
+def _glue_keys(df: DataFrame, name: str) -> DataFrame:
+    """The letters of both parts, whichever comes first."""
+    full = df.filter((F.col("x") != "") & (F.col("y") != "") & ~_starred("x") & ~_starred("y"))
+    letters = full.select(F.concat_ws("|", "x", "y").alias(name), F.explode(F.array(F.concat("x", "y"), F.concat("y", "x"))).alias("letters"))
+    return letters.select(name, F.lit("glued").alias("kind"), F.xxhash64(F.lit("glued"), "letters").alias("key"))
+
+
+def source_keys(sources: DataFrame, slips: DataFrame, owners: dict[str, list[str]], both: bool = False) -> DataFrame:
+    """(form, word, other, two, kind, key): the keys under which forms look for what they may be short, nick, slip, half or glued of."""
+    s, full = _parts(sources, "form", "word", "other"), ~_starred("word")
     # Every part is also looked up under the words that its other part may be a slip of.
     meant = s.join(slips.select(F.col("a").alias("other"), F.col("b").alias("means")), "other").select("form", "word", F.col("means").alias("other"), F.lit(True).alias("two"))
     s = s.select("form", "word", "other", F.lit(False).alias("two")).unionByName(meant)
-    src = keyed(s, "other", {
-        "short": only(_starred("word") | (F.length("word") <= MAX_BARE), letter("word")),
-        "nick": only(full, itself_and("word", owners("word"))), "long": only(full, letter("word")) if both else none,
-        "half": only(full & (F.length("word") > 2), F.array("word")),
+    keys = _keyed(s, "other", {
+        "short": _only(_starred("word") | (F.length("word") <= MAX_BARE), _start_of("word")),
+        "nick": _only(full, F.concat(F.array("word"), _owners_of(owners, "word")) if both else _owners_of(owners, "word")),
+        "long": _only(full, F.array(F.substring("word", 1, MAX_START))) if both else _none(),  # a lone letter is an abbreviation, never a target
+        "half": _only(full & (F.length("word") > 2), F.array("word")),
     })
     slipped = s.join(slips.select(F.col("a").alias("word"), F.col("b").alias("piece")), "word").withColumn("kind", F.lit("slip")).withColumn("key", F.xxhash64("kind", "other", "piece")).drop("piece")
-    dst = keyed(t, "t_other", {
-        "short": letter("t_word"), "nick": F.concat(F.array("t_word"), owners("t_word")) if both else F.array("t_word"), "slip": F.array("t_word"),
-        "long": only(F.length("t_word") <= MAX_BARE, letter("t_word")) if both else none,
-        "half": F.coalesce(F.split("h", "-"), none),
+    glued = _glue_keys(sources, "form").select("form", F.lit("").alias("word"), F.lit("").alias("other"), F.lit(False).alias("two"), "kind", "key")
+    return keys.unionByName(slipped).unionByName(glued)
+
+
+def target_keys(targets: DataFrame, owners: dict[str, list[str]], both: bool = False) -> DataFrame:
+    """(target, t_word, t_other, t_kind, key): the keys under which names are found."""
+    t = _parts(targets, "target", "t_word", "t_other").filter(~_starred("t_word"))
+    keys = _keyed(t, "t_other", {
+        "short": F.array(*[F.substring("t_word", 1, n) for n in range(1, MAX_START + 1)]),
+        "nick": F.concat(F.array("t_word"), _owners_of(owners, "t_word")) if both else F.array("t_word"), "slip": F.array("t_word"),
+        "long": _only(F.length("t_word") <= MAX_BARE, _start_of("t_word")) if both else _none(),
+        "half": F.coalesce(F.split("h", "-"), _none()),
     }).withColumnRenamed("kind", "t_kind")
+    glued = _glue_keys(targets, "target").select("target", F.lit("").alias("t_word"), F.lit("").alias("t_other"), F.col("kind").alias("t_kind"), "key")
+    return keys.unionByName(glued)
+
+
+def meet(sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """(form, target, kind, a, b, two): the forms of source_keys that fit the names of target_keys, with the two words they differ in."""
     start = F.rtrim(F.col("word"), F.lit("*"))
     fits = (
         F.when(F.col("kind") == "short", F.col("t_word").startswith(start))
         .when(F.col("kind") == "long", F.col("word").startswith(F.col("t_word")))
         .otherwise(True)
     )
-    # Without the hint a table that is small on disk would be broadcast with all its keys, many times its size.
-    met = src.unionByName(slipped).join(dst.hint("merge"), "key").filter((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & (F.col("kind") == F.col("t_kind")) & fits)
+    differ = F.when(F.col("kind") == "glued", F.col("form") != F.col("target")).otherwise((F.col("other") == F.col("t_other")) & (F.col("word") != F.col("t_word")) & fits)
+    met = sources.join(targets, "key").filter((F.col("kind") == F.col("t_kind")) & differ)
     return met.groupBy("form", "target", F.col("word").alias("a"), F.col("t_word").alias("b")).agg(F.min("kind").alias("kind"), F.min("two").alias("two")).select("form", "target", "kind", "a", "b", "two")
 
 
+def form_pairs(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, slips: DataFrame, both: bool = False) -> DataFrame:
+    """(form, target, kind, a, b, two): forms of one person perhaps, with the two words they differ in.
+
+    Kinds: short (a given name's first letters), nick (a nickname and its owner), slip (one typing slip in one part), half
+    (one half of a double name, or a surname without its particles), glued (the same letters, divided otherwise between the
+    parts); if `both`, also long (the target is the short form) and nick either way. The other parts are
+    equal, or, where `two` is true, one typing slip apart as well. Everything meets in one join on whole keys, each the
+    target's other part together with what its word is known by: its first letters, a nickname's owner, itself, or a half.
+    Both tables have x, y, hx, hy; `slips` has the word_slips that count.
+    """
+    owners = nickname_owners(nicknames)
+    # Without the hint a table that is small on disk would be broadcast with all its keys, many times its size.
+    return meet(source_keys(sources, slips, owners, both), target_keys(targets, owners, both).hint("merge"))
+
+
 MIN_BEARERS, MIN_SHARE, MIN_LIFT = 8, 0.4, 5.0  # surnames a nickname must be seen with, the share its owner must be seen with too, and that share against the owner's usual one
 SALT_OWNERS, MAX_SALTS = 1_000, 1_000  # given names of a surname from which its pairs are spread over several tasks, and how many at most
 
