@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.names import FORM, form_pairs, learned_nicknames, single_names, word_slips
+from tallyforge.llm.names import FORM, learned_nicknames, meet, nickname_owners, single_names, source_keys, target_keys, word_slips
 from tallyforge.session import cut
 
 MAX_ROUNDS = 30  # more rounds than merges can take is an error, not a cut
@@ -37,7 +37,10 @@ def profiles(names: DataFrame, nicknames: DataFrame) -> DataFrame:
         .filter(F.coalesce("da", F.lit(0)) <= F.greatest(F.lit(2.0), RARE * F.col("db"))).select("a", "b")
     )
     slips, partners = cut(slips, "slips"), cut(partners, "partners")
-    pairs = cut(_met(forms, forms, nicknames, slips, partners), "pairs")
+    # The keys of all names are written once; a round looks up only what has grown.
+    owners = nickname_owners(nicknames)
+    sources, targets = cut(source_keys(forms, slips, owners), "sources"), cut(target_keys(forms, owners), "targets")
+    pairs = cut(_fit(meet(sources, targets.hint("merge")), partners), "pairs")
     state = forms.select("form", "x", "y", "hx", "hy", "n", F.col("form").alias("root"), F.col("n").alias("w"))
     for _ in range(MAX_ROUNDS):
         merges = cut(_merges(state, _closest(pairs)), "merges")
@@ -46,20 +49,29 @@ def profiles(names: DataFrame, nicknames: DataFrame) -> DataFrame:
         moved = state.drop("w").join(merges, "root", "left").select(*FORM_COLUMNS, "n", F.coalesce("into", "root").alias("root"))
         moved = cut(moved.distinct(), "moved")
         grown = cut(_unions(moved.join(merges.select(F.col("into").alias("root")).distinct(), "root", "left_semi")), "unions")
-        if not grown.isEmpty():
-            new, every = grown.select(*FORM_COLUMNS).distinct(), moved.unionByName(grown).select(*FORM_COLUMNS).distinct()
-            same = grown.select("form", "root").join(moved.unionByName(grown).select("form", F.col("root").alias("r")), "form").filter("r <> root").select("form", F.col("form").alias("target"), F.lit("half").alias("kind"), F.lit(False).alias("rarer"))
-            met = _met(every, new, nicknames, slips, partners).unionByName(_met(new, every, nicknames, slips, partners))
-            pairs = cut(pairs.unionByName(met).unionByName(same).distinct(), "pairs")
-            moved = moved.unionByName(grown)
+        size = grown.count()
+        if size:
+            new = grown.select(*FORM_COLUMNS).distinct()
+            new_sources, new_targets = cut(source_keys(new, slips, owners), "sources"), cut(target_keys(new, owners), "targets")
+            few = lambda df: F.broadcast(df) if size <= FEW else df.hint("merge")
+            sources, met = sources.unionByName(new_sources), meet(few(new_sources), targets)
+            targets, met = targets.unionByName(new_targets), met.unionByName(meet(sources, few(new_targets)))
+            every = moved.unionByName(grown)
+            same = few(grown.select("form", "root")).join(every.select("form", F.col("root").alias("r")), "form").filter("r <> root").select("form", F.col("form").alias("target"), F.lit("half").alias("kind"), F.lit(False).alias("rarer"))
+            found = cut(_fit(met, partners).unionByName(same), "found")
+            pairs = cut(pairs.unionByName(found).distinct(), "pairs")
+            moved = every
         state = cut(moved.join(moved.groupBy("root").agg(F.sum("n").alias("w")), "root"), "state")
     raise RuntimeError(f"merging went on after {MAX_ROUNDS} rounds")
 
 
-def _met(sources: DataFrame, targets: DataFrame, nicknames: DataFrame, slips: DataFrame, partners: DataFrame) -> DataFrame:
+FEW = 10_000  # grown names of a round whose keys, some twenty each, are broadcast
+
+
+def _fit(met: DataFrame, partners: DataFrame) -> DataFrame:
     """(form, target, kind, rarer): the pairs of forms whose words are rare enough for what parts them."""
     return (
-        form_pairs(sources, targets, nicknames, slips)
+        met
         .join(partners.select(F.col("word").alias("a"), F.col("d").alias("da")), "a", "left")
         .join(partners.select(F.col("word").alias("b"), F.col("d").alias("db")), "b", "left")
         .filter((F.col("kind") != "short") | F.col("a").endswith("*") | (F.col("da") <= F.greatest(F.lit(1.0), RARE_SHORT * F.col("db"))))
