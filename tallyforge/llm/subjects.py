@@ -1,44 +1,45 @@
 """Subject areas of documents.
 
-A complement naive Bayes model is trained on labelled documents: for each subject, how much likelier a word is in documents
-of the subject than in all others. Expectation-maximization over the sentences of all documents then sharpens it: the
-words of a sentence share one hidden subject or none, and a document's labels only start and steer its own sentences. The
-log odds of each subject are calibrated on their own against the labels, so that a document may have any number of
-subjects. A document is about a subject if at least MIN_SENTENCES of its sentences are.
+A complement naive Bayes model says for each subject how much likelier a word is in it than in everything else. It is
+trained on labelled documents and refined by expectation-maximization over the sentences of all documents: a sentence's
+summed complement weights give the posterior of each subject on its own, the posteriors give the expected word counts
+of every subject and of the rest, and these give new complement weights. A document's labels only start and steer its own
+sentences. Words of a sentence that belong to other subjects speak against each, so that a sentence mixing subjects is
+about none. The log odds of each subject are calibrated on their own against the labels, so that a document may have any
+number of subjects. A document is about a subject if at least MIN_SENTENCES of its sentences are.
+
+Texts are read into word numbers once and written to the shared folder; the passes after that are array operations.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.batches import slices
-from tallyforge.session import bounded_rows
+from tallyforge.session import bounded_rows, cut
 
 MAX_LABELLED = 15_000  # labelled documents the model starts from, chosen by a hash of their id
+MAX_LABELLED_CHARS = 200_000_000  # and their characters
 MAX_WORDS = 20_000  # words of the model, by the number of labelled documents that hold them
 MAX_SUBJECTS = 256
 MIN_WORD_DOCS = 3
 CHANCE = 3.0  # standard deviations above chance from which a word counts for a subject at first
-OTHERS = 2  # classes beside the subjects: none, and mixed
 LIMIT = 8.0  # log odds beyond this are alike
 MIN_SENTENCES = 3
-ROUNDS = 2  # passes of expectation-maximization over all documents
+ROUNDS = 1  # passes of expectation-maximization over all documents
 SMOOTHING = 0.5
 SHRINK = 20.0  # words a class needs before its own counts outweigh the overall ones
-
-# Frequent function words of the corpus's languages (English, German, Spanish).
-FUNCTION_WORDS = [
-    frozenset("the of and a that was because by with without between our every please".split()),
-    frozenset("der die das und eine ein ohne nach am war wegen noch niemand in".split()),
-    frozenset("el la los las una un sin de en fue tras por y otra".split()),
-]
+MIN_CODE = 0.01  # share of the labelled documents from which a language code counts
+SAME_LANGUAGE = 0.6  # cosine of the commonest words' shares from which two codes are one language
+COMMON_WORDS = 300  # words by which languages are told
 
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’)*_]*\s+|\n+")
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
@@ -56,81 +57,126 @@ def sentences(text: str | None) -> list[list[str]]:
     return out
 
 
-def language(words: list[list[str]]) -> int:
-    """The language whose function words a text holds most of; the first one on a tie."""
-    n = [sum(w in f for s in words for w in s) for f in FUNCTION_WORDS]
-    return n.index(max(n))
+def _code(lang: str | None) -> str:
+    """The first two letters of a language code, however it is written; '' for none."""
+    return "".join(c for c in (lang or "").lower() if c.isalpha())[:2]
+
+
+@dataclass
+class Languages:
+    """What the commonest words tell about a text's language: a row of log shares per language. Without codes there is one language."""
+
+    words: dict[str, int] = field(default_factory=dict)
+    log_share: np.ndarray = field(default_factory=lambda: np.zeros((1, 0)))
+
+    def of(self, parts: list[list[str]]) -> int:
+        """The language that a text's words are likeliest in; the first one on a tie."""
+        known = self.words
+        at = [known[w] for s in parts for w in s if w in known]
+        return int(np.argmax(np.bincount(at, minlength=len(known)) @ self.log_share.T)) if at and len(self.log_share) > 1 else 0
+
+
+def learn_languages(docs: list[tuple[list[list[str]], str | None]]) -> Languages:
+    """Languages from (sentences, code) of documents whose codes are null, wrong or unevenly written in part.
+
+    Codes that hold at least MIN_CODE of the documents are compared by the shares of the commonest words; those whose
+    words agree are one language.
+    """
+    counts: dict[str, Counter] = defaultdict(Counter)
+    n = Counter(_code(lang) for _, lang in docs if _code(lang))
+    codes = [c for c, k in sorted(n.items(), key=lambda x: (-x[1], x[0])) if k >= max(2, MIN_CODE * sum(n.values()))]
+    for parts, lang in docs:
+        if _code(lang) in codes:
+            counts[_code(lang)].update(w for s in parts for w in s)
+    common = {w for c in codes for w, _ in sorted(counts[c].items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]}
+    words = {w: i for i, w in enumerate(sorted(common))}
+    if not words:
+        return Languages()
+    rows: list[np.ndarray] = []
+    for c in codes:
+        row = np.array([counts[c][w] for w in words], dtype=float)
+        for k, old in enumerate(rows):
+            if row @ old >= SAME_LANGUAGE * np.linalg.norm(row) * np.linalg.norm(old):
+                rows[k] = old + row
+                break
+        else:
+            rows.append(row)
+    shares = np.stack(rows) + 1.0
+    return Languages(words, np.log(shares / shares.sum(1, keepdims=True)))
 
 
 @dataclass
 class Model:
-    """Log likelihood of each word for each subject and, in the last two columns, for no subject and for sentences that mix subjects' words without being about one. Words of languages are kept apart."""
+    """The complement weight of each word for each subject: the log of its share in the subject against its share in all else. Words of languages are kept apart."""
 
     subjects: list[str]
+    languages: Languages
     words: dict[tuple[int, str], int]
-    likelihood: np.ndarray  # words x (subjects + OTHERS)
-    prior: np.ndarray  # log share of sentences of each class
+    weight: np.ndarray  # words x subjects
+    bias: np.ndarray  # log odds of a sentence's being about each subject
     slope: np.ndarray
     shift: np.ndarray
 
-    def encode(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, sentence, document of each sentence) of texts; words the model lacks are left out, repeats in a sentence too."""
-        w, s, d, k = [], [], [], 0
-        known = self.words
-        for i, t in enumerate(texts):
-            parts = sentences(t)
-            tongue = language(parts)
-            for words in parts:
-                hits = {known[tongue, x] for x in words if (tongue, x) in known}
-                if hits:
-                    w += hits
-                    s += [k] * len(hits)
-                    d.append(i)
-                    k += 1
-        return np.array(w, dtype=np.int64), np.array(s, dtype=np.int64), np.array(d, dtype=np.int64)
-
-    def posterior(self, w: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
-        """Share of each class in each of n sentences."""
-        score = np.empty((n, len(self.prior)))
-        for c in range(len(self.prior)):
-            score[:, c] = np.bincount(s, weights=self.likelihood[w, c], minlength=n)
-        score += self.prior
-        score = np.exp(score - score.max(1, keepdims=True))
-        return score / score.sum(1, keepdims=True)
-
-
-def _model(subjects: list[str], words: dict, counts: np.ndarray, held: np.ndarray) -> Model:
-    """A model from expected word counts and sentences per class. Each language's words share one distribution a class."""
-    tongue = np.zeros(len(words), dtype=np.int64)
-    for (t, _), i in words.items():
-        tongue[i] = t
-    likelihood = np.zeros((len(words), len(subjects) + OTHERS))
-    for t in range(len(FUNCTION_WORDS)):
+    def encode(self, text: str | None) -> list[int]:
+        """The model's words of each sentence, once each, and a -1 after each sentence that holds any."""
+        parts, known, out = sentences(text), self.words, []
+        tongue = self.languages.of(parts)
+        for words in parts:
+            hits = sorted({known[tongue, x] for x in words if (tongue, x) in known})
+            if hits:
+                out += hits
+                out.append(-1)
+        return out
+
+    def posterior(self, ids: np.ndarray) -> np.ndarray:
+        """The posterior of each subject in each sentence of encoded texts: each on its own, then at most 1 together, since a sentence is about one at most."""
+        ends = np.flatnonzero(ids < 0)
+        if not len(ends):
+            return np.zeros((0, len(self.subjects)))
+        padded = np.vstack([self.weight, np.zeros((1, len(self.subjects)))])
+        odds = np.add.reduceat(padded[ids], np.append(0, ends[:-1] + 1), axis=0) + self.bias
+        post = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        return post / np.maximum(post.sum(1, keepdims=True), 1)
+
+
+def _shares(post: np.ndarray) -> np.ndarray:
+    """The subjects' shares of each sentence and, in the last column, what is left for the rest."""
+    return np.hstack([post, np.maximum(0, 1 - post.sum(1, keepdims=True))])
+
+
+def _model(subjects: list[str], languages: Languages, words: dict, counts: np.ndarray, held: np.ndarray) -> Model:
+    """A model from expected word counts and sentences per subject and, in the last column, of the rest."""
+    tongue = np.array([t for t, _ in words], dtype=np.int64).reshape(-1)
+    k = len(subjects)
+    weight = np.zeros((len(words), k))
+    for t in range(len(languages.log_share)):
         at = tongue == t
         if at.any():
             own = counts[at]
-            overall = own.sum(1, keepdims=True) / max(own.sum(), 1e-9)
-            likelihood[at] = np.log((own + SHRINK * overall + 1e-6) / (own.sum(0) + SHRINK + 1e-6 * at.sum()))
-    share = (held + 1) / (held + 1).sum()
-    k = len(subjects)
-    return Model(subjects, words, likelihood, np.log(share), np.ones(k), np.zeros(k))
+            every = own.sum(1, keepdims=True)
+            overall = every / max(every.sum(), 1e-9)
+            log_share = lambda c: np.log((c + SHRINK * overall + 1e-6) / (c.sum(0) + SHRINK + 1e-6 * at.sum()))
+            weight[at] = log_share(own[:, :k]) - log_share(every - own[:, :k])
+    share = (held[:k] + 1) / (held.sum() + 2)
+    return Model(subjects, languages, words, weight, np.log(share / (1 - share)), np.ones(k), np.zeros(k))
 
 
-def train(docs: list[tuple[str, set[str]]], subjects: list[str]) -> Model:
-    """Complement naive Bayes from (text, subjects) of labelled documents.
+def train(docs: list[tuple[str, set[str], str | None]], subjects: list[str]) -> Model:
+    """Complement naive Bayes from (text, subjects, language code) of labelled documents.
 
-    A word's weight for a subject is the log of its count in documents of the subject against the count its language's
+    A word's first weight for a subject is the log of its count in documents of the subject against the count its language's
     documents would give it, less the same for the complement; weights within chance are zero. The summed weights of a
-    sentence's words share the sentence among the subjects and none, and these shares give the first word counts.
+    sentence's words share the sentence among the subjects and the rest, and these shares give the word counts.
     """
-    parsed = [(sentences(t), labels) for t, labels in docs]
-    parsed = [(p, language(p), labels) for p, labels in parsed]
+    read = [(sentences(t), labels, lang) for t, labels, lang in docs]
+    languages = learn_languages([(p, lang) for p, _, lang in read])
+    parsed = [(p, languages.of(p), labels) for p, labels, _ in read]
     held = Counter((t, w) for p, t, _ in parsed for w in {w for s in p for w in s})
     kept = [w for w, n in sorted(held.items(), key=lambda x: (-x[1], x[0])) if n >= MIN_WORD_DOCS][:MAX_WORDS]
     words = {w: i for i, w in enumerate(kept)}
     v, k = len(words), len(subjects)
-    on, total, in_docs = np.zeros((v, k)), np.zeros(v), np.zeros((len(FUNCTION_WORDS), k))
-    n_docs = np.zeros(len(FUNCTION_WORDS))
+    on, total, in_docs = np.zeros((v, k)), np.zeros(v), np.zeros((len(languages.log_share), k))
+    n_docs = np.zeros(len(languages.log_share))
     for parts, t, labels in parsed:
         at = np.array(sorted({words[t, w] for s in parts for w in s if (t, w) in words}), dtype=np.int64)
         marks = np.array([x in labels for x in subjects], dtype=float)
@@ -144,7 +190,7 @@ def train(docs: list[tuple[str, set[str]]], subjects: list[str]) -> Model:
     weight = np.log((on + SMOOTHING) / (expected + SMOOTHING)) - np.log((total[:, None] - on + SMOOTHING) / (total[:, None] - expected + SMOOTHING))
     spread = np.sqrt(expected * (1 - share)) + 1e-9
     weight[(on - expected) / spread < CHANCE] = 0
-    counts, sentences_on = np.zeros((v, k + OTHERS)), np.zeros(k + OTHERS)
+    counts, sentences_on = np.zeros((v, k + 1)), np.zeros(k + 1)
     for parts, t, labels in parsed:
         marks = np.array([x in labels for x in subjects])
         for s in parts:
@@ -154,10 +200,28 @@ def train(docs: list[tuple[str, set[str]]], subjects: list[str]) -> Model:
                 second = np.sort(votes)[-2] if k > 1 else 0.0
                 score = np.append(np.where(marks, votes, votes * 0.5 - 1), [1.5, 2 * second - 1])
                 post = np.exp(score - score.max())
-                post /= post.sum()
+                post = np.append(post[:k], post[k:].sum()) / post.sum()
                 counts[at] += post
                 sentences_on += post
-    return _model(subjects, words, counts, sentences_on)
+    return _model(subjects, languages, words, counts, sentences_on)
+
+
+def _encode_batches(model: Model):
+    def run(batches):
+        for batch in batches:
+            for pdf in slices(pd.DataFrame({"_id": batch.column(0).to_pandas(), "text": batch.column(1).to_pandas()}), rows=10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(pdf["_id"], batch.schema.field(0).type, from_pandas=True), pa.array([model.encode(t) for t in pdf["text"]], pa.list_(pa.int32()))], ["_id", "ids"])
+
+    return run
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(word numbers, document of each sentence) of a batch of encoded texts."""
+    lists = batch.column("ids").combine_chunks() if isinstance(batch.column("ids"), pa.ChunkedArray) else batch.column("ids")
+    offsets = lists.offsets.to_numpy()
+    ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+    doc = np.repeat(np.arange(len(lists)), np.diff(offsets))
+    return ids, doc[ids < 0]
 
 
 def _expect(model: Model, labels: dict):
@@ -165,33 +229,35 @@ def _expect(model: Model, labels: dict):
     subjects = model.subjects
 
     def run(batches):
-        v, k = len(model.words), len(subjects) + OTHERS
-        counts, held = np.zeros((v, k)), np.zeros(k)
-        for pdf in (part for whole in batches for part in slices(whole)):
-            w, s, d = model.encode(pdf["text"])
+        v, k = len(model.words), len(subjects) + 1
+        counts, held = np.zeros((v + 1, k)), np.zeros(k)
+        for batch in batches:
+            ids, d = _flat(batch)
             if not len(d):
                 continue
-            post = model.posterior(w, s, len(d))
-            marked = [(i, labels[key]) for i, key in enumerate(pdf["_id"]) if key in labels]
-            for i, known in marked:
-                at = d == i
-                post[at] *= np.append(np.where(np.isin(subjects, list(known)), 1.0, 0.3), np.ones(OTHERS))
-                post[at] /= post[at].sum(1, keepdims=True)
+            post = model.posterior(ids)
+            for i, key in enumerate(batch.column("_id").to_pylist()):
+                if key in labels:
+                    at = slice(*np.searchsorted(d, [i, i + 1]))
+                    post[at] *= np.where(np.isin(subjects, list(labels[key])), 1.0, 0.3)
+            shares = _shares(post)
+            sentence = np.cumsum(ids < 0) - (ids < 0)
             for c in range(k):
-                counts[:, c] += np.bincount(w, weights=post[s, c], minlength=v)
-            held += post.sum(0)
+                counts[:, c] += np.bincount(np.where(ids < 0, v, ids), weights=shares[sentence, c], minlength=v + 1)
+            held += shares.sum(0)
+        counts = counts[:v]
         seen = np.flatnonzero(counts.sum(1))
         rows = [(int(i), counts[i].tolist()) for i in seen] + ([(-1, held.tolist())] if held.sum() else [])
-        yield pd.DataFrame(rows, columns=["word", "held"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["word", "held"])
 
     return run
 
 
-def refine(model: Model, docs: DataFrame, labels: dict) -> Model:
+def refine(model: Model, encoded: DataFrame, labels: dict) -> Model:
     """One pass of expectation-maximization over all documents. Counts come back per model word, whatever the corpus."""
-    k = len(model.subjects) + OTHERS
+    k = len(model.subjects) + 1
     rows = (
-        docs.mapInPandas(_expect(model, labels), "word int, held array<double>")
+        encoded.mapInArrow(_expect(model, labels), "word int, held array<double>")
         .groupBy("word").agg(*[F.sum(F.col("held")[c]).alias(f"h{c}") for c in range(k)])
         .collect()  # at most MAX_WORDS + 1 rows
     )
@@ -201,7 +267,7 @@ def refine(model: Model, docs: DataFrame, labels: dict) -> Model:
             held = np.array([r[f"h{c}"] for c in range(k)])
         else:
             counts[r.word] = [r[f"h{c}"] for c in range(k)]
-    return _model(model.subjects, model.words, counts, held)
+    return _model(model.subjects, model.languages, model.words, counts, held)
 
 
 def third_best(post: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
@@ -217,21 +283,23 @@ def third_best(post: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def calibrate(model: Model, docs: list[tuple[str, set[str]]]) -> Model:
+def calibrate(model: Model, docs: list[tuple[str, set[str], str | None]]) -> Model:
     """Slope and shift of each subject's log odds, by logistic regression of a document's label on its MIN_SENTENCES-th best sentence.
 
     Every subject is calibrated on its own; one that is labelled nearly never or nearly always keeps slope 1 and shift 0.
     """
-    w, s, d = model.encode([t for t, _ in docs])
-    if not len(d):
+    encoded = [model.encode(t) for t, _, _ in docs]
+    ids = np.array([i for e in encoded for i in e], dtype=np.int64)
+    if not (ids < 0).any():
         return model
+    d = np.repeat(np.arange(len(docs)), [sum(i < 0 for i in e) for e in encoded])
     slope, shift = model.slope.copy(), model.shift.copy()
-    x = third_best(model.posterior(w, s, len(d))[:, :-OTHERS], d, len(docs))
+    x = third_best(model.posterior(ids), d, len(docs))
     for c, subject in enumerate(model.subjects):
-        y = np.array([subject in labels for _, labels in docs], dtype=float)
+        y = np.array([subject in labels for _, labels, _ in docs], dtype=float)
         if 5 <= y.sum() <= len(y) - 5:
             slope[c], shift[c] = _platt(x[:, c], y)
-    return Model(model.subjects, model.words, model.likelihood, model.prior, slope, shift)
+    return Model(model.subjects, model.languages, model.words, model.weight, model.bias, slope, shift)
 
 
 def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -259,37 +327,41 @@ def _label(model: Model, id_column: str):
     subjects = np.array(model.subjects, dtype=object)
 
     def run(batches):
-        for pdf in (part for whole in batches for part in slices(whole)):
-            w, s, d = model.encode(pdf["text"])
-            n = len(pdf)
+        for batch in batches:
+            ids, d = _flat(batch)
+            n = batch.num_rows
             if not len(d) or not len(subjects):
                 continue
-            post = model.posterior(w, s, len(d))[:, :-OTHERS]
+            post = model.posterior(ids)
             calibrated = 1 / (1 + np.exp(-(model.slope * third_best(post, d, n) + model.shift)))
             about = np.stack([np.bincount(d, weights=post[:, c] >= 0.5, minlength=n) for c in range(len(subjects))], 1)
             i, c = np.nonzero((calibrated >= 0.5) & (about >= MIN_SENTENCES))
-            yield pd.DataFrame({id_column: pdf["_id"].iloc[i].to_numpy(), "subject": subjects[c], "n_sentences": about[i, c].astype("int32"), "posterior": calibrated[i, c]})
+            yield pa.RecordBatch.from_arrays([batch.column("_id").take(pa.array(i)), pa.array(subjects[c], pa.string()), pa.array(about[i, c].astype("int32")), pa.array(calibrated[i, c])], [id_column, "subject", "n_sentences", "posterior"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, subject_areas: DataFrame, id_column: str = "doc_id", rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED) -> Model:
-    """The model from at most max_labelled labelled documents, chosen by hash, and every document of the corpus."""
+def fit(docs: DataFrame, labels: DataFrame, subject_areas: DataFrame, id_column: str = "doc_id", rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, max_chars: int = MAX_LABELLED_CHARS) -> tuple[Model, DataFrame]:
+    """The model from at most max_labelled labelled documents of max_chars characters, chosen by hash, and every document of the corpus; and the encoded corpus (_id, ids)."""
     subjects = sorted(r[0] for r in bounded_rows(subject_areas.select("subject").filter("subject is not null").distinct(), MAX_SUBJECTS, "subjects"))
     marked = labels.filter(F.col(id_column).isNotNull() & F.col("subject").isNotNull()).groupBy(id_column).agg(F.collect_set("subject").alias("marks"))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    once = docs.select(id_column, "text", lang.alias("lang")).filter(F.length("text") > 0)
     n = marked.count()
-    if n > max_labelled:
-        share = int(0.95 * max_labelled / n * 1_000_000)
-        marked = marked.filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < share)
-    once = docs.select(id_column, "text").filter(F.length("text") > 0)
-    rows = bounded_rows(once.join(F.broadcast(marked), id_column).groupBy(id_column).agg(F.first("text").alias("text"), F.first("marks").alias("marks")), max_labelled, "labelled documents")
-    known = [(r.text, set(r.marks)) for r in rows]
-    model = train(known, subjects)
-    text = once.select(F.col(id_column).alias("_id"), "text")
+    upto = lambda share: F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)
+    share = 0.95 * max_labelled / n if n > max_labelled else 1.0
+    # At most about max_labelled ids are broadcast, so that no text is shuffled but theirs.
+    known = once.join(F.broadcast(marked.filter(upto(share))), id_column).groupBy(id_column).agg(F.max_by(F.struct("text", "lang", "marks"), F.struct("text", "lang")).alias("m")).select(id_column, "m.*")
+    chars = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first().chars
+    rows = bounded_rows(known.filter(upto(share * min(1.0, max_chars / max(1, chars)))), max_labelled, "labelled documents")
+    sample = [(r.text, set(r.marks), r.lang) for r in rows]
+    model = train(sample, subjects)
+    kind = docs.schema[id_column].dataType.simpleString()
+    encoded = cut(once.select(F.col(id_column).alias("_id"), "text").mapInArrow(_encode_batches(model), f"_id {kind}, ids array<int>"), "words")
     by_id = {r[id_column]: set(r.marks) for r in rows}
     for _ in range(rounds):
-        model = refine(model, text, by_id)
-    return calibrate(model, known)
+        model = refine(model, encoded, by_id)
+    return calibrate(model, sample), encoded
 
 
 def subjects_of(docs: DataFrame, labels: DataFrame, subject_areas: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
@@ -297,12 +369,12 @@ def subjects_of(docs: DataFrame, labels: DataFrame, subject_areas: DataFrame, id
 
     Null, empty and blank texts have none, nor has any document where there are no labels or no subjects. Wrong, missing
     and repeated labels only start the model. Repeated rows of a document give repeated rows; copies score like their
-    originals, since a score depends on the text alone. posterior is that of the MIN_SENTENCES-th best sentence.
+    originals, since a score depends on the text alone. posterior is that of the MIN_SENTENCES-th best sentence. Languages
+    are learned from the column `lang`, if there is one, whose codes may be null or wrong.
     """
-    model = fit(docs, labels, subject_areas, id_column, **options)
+    model, encoded = fit(docs, labels, subject_areas, id_column, **options)
     kind = docs.schema[id_column].dataType.simpleString()
-    text = docs.select(F.col(id_column).alias("_id"), "text").filter(F.length("text") > 0)
-    return text.mapInPandas(_label(model, id_column), f"`{id_column}` {kind}, subject string, n_sentences int, posterior double")
+    return encoded.mapInArrow(_label(model, id_column), f"`{id_column}` {kind}, subject string, n_sentences int, posterior double")
 
 
 def composition(found: DataFrame, docs: DataFrame, id_column: str = "doc_id") -> DataFrame:

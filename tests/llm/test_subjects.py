@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tallyforge.llm import subjects as S
 
 VOCAB = {s: [f"{s}{chr(97 + i)}{x}" for i in range(8) for x in ("ar", "en")] for s in ("law", "sport", "music")}
@@ -69,8 +71,49 @@ def test_composition(spark):
 
 
 def test_third_best():
-    import numpy as np
-
     post = np.array([[0.9], [0.8], [0.7], [0.6], [0.9]])
     x = S.third_best(post, np.array([0, 0, 0, 0, 2]), 3)
     assert abs(x[0, 0] - np.log(0.7 / 0.3)) < 1e-9 and x[1, 0] == x[2, 0] == -S.LIMIT
+
+
+def test_languages_are_learned_from_uneven_codes():
+    """Codes of one language meet by their words, whatever they are called; wrong and missing codes do no harm."""
+    rng = random.Random(5)
+    tongues = {"en": "the of and a that was because by with".split(), "de": "der die das und eine ohne nach am".split(), "fi": "ja on ei se mutta kun niin".split()}
+    codes = {"en": ["en", "EN", "en-US", "und", None], "de": ["de", "de-AT", "German", None], "fi": ["fi", "FI", "suomi"]}
+    docs, truth = [], []
+    for _ in range(300):
+        t = rng.choice(sorted(tongues))
+        parts = [[rng.choice(tongues[t]) for _ in range(6)] + [rng.choice(PLAIN)] for _ in range(4)]
+        docs.append((parts, rng.choice(codes[t]) if rng.random() > 0.03 else "es"))
+        truth.append(t)
+    learned = S.learn_languages(docs)
+    got = [learned.of(p) for p, _ in docs]
+    pairs = set(zip(truth, got))
+    assert len(learned.log_share) == 3 and len(pairs) == 3 and len({g for _, g in pairs}) == 3
+    assert S.learn_languages([]).of([["x"]]) == 0 and S.learn_languages([(p, None) for p, _ in docs]).of(docs[0][0]) == 0
+
+
+def test_sample_is_bounded_by_characters(spark):
+    docs, truth = corpus(200, 6)
+    labels = [(i, s, "t") for i in range(200) for s in truth[i]]
+    d, lab, areas = tables(spark, docs, labels)
+    whole = sum(len(t) for i, t in docs if truth[i])
+    seen = []
+    train = S.train
+    try:
+        S.train = lambda sample, subjects: seen.append(sum(len(t) for t, *_ in sample)) or train(sample, subjects)
+        S.fit(d, lab, areas, max_chars=whole // 2)
+        S.fit(d, lab, areas)
+    finally:
+        S.train = train
+    assert 0 < seen[0] <= 0.7 * whole and seen[1] == whole
+
+
+def test_weights_are_complement_weights():
+    """A word of one subject speaks for it and against the others; a sentence mixing two is about neither."""
+    counts = np.array([[30.0, 0, 0], [0, 30, 0], [30, 30, 60]])
+    m = S._model(["a", "b"], S.Languages(), {(0, w): i for i, w in enumerate("xyz")}, counts, np.array([15.0, 15, 30]))
+    assert m.weight[0, 0] > 1 > -1 > m.weight[0, 1] and abs(m.weight[2, 0]) < 0.7
+    post = m.posterior(np.array([0, 2, -1, 0, 1, -1, 2, -1]))
+    assert post[0, 0] > 0.7 and post[1].max() <= 0.5 and post[2].max() < 0.5 and (post.sum(1) <= 1 + 1e-9).all()
