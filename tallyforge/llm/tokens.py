@@ -1,14 +1,18 @@
 """Encoding of a whole corpus with a public byte-level BPE.
 
-Ordinary texts are encoded batch by batch. Long text is encoded by tree concatenation: parts are encoded on their own, and
-where two parts of one unsplit run meet, growing windows around the join are encoded again until both of their ends agree
-with the tokens outside. Two neighbouring tokens agree if encoding their joined bytes gives just the two; a sequence all of
-whose neighbours agree is the encoding of its bytes, so the result is exact.
+Every text of 2 * LEAF_CHARS characters or more is encoded by tree concatenation: halves are encoded on their own, down to
+leaves, and joined pair by pair. A text is halved where the split pattern itself ends a run, if there is such a place near
+the middle; then both sides agree at once. Else the cut lies inside an unsplit run, and growing windows around the join
+are encoded again until both of their ends agree with the tokens outside. Two neighbouring tokens agree if encoding their
+joined bytes gives just the two; a sequence all of whose neighbours agree is the encoding of its bytes, so the result is
+exact. Very long texts are cut into parts that several tasks encode at the same time; their joins are the same.
 """
 
 from __future__ import annotations
 
 import base64
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
+LEAF_CHARS = 256  # characters of a leaf of a text's tree
+SAFE_REACH = 200  # characters behind the middle in which a place is looked for where the pattern ends a run
 LONG_RUN = 1_000  # characters of one unsplit run from which it is encoded as a tree
 LEAF_BYTES = 256  # bytes encoded at once at a tree's leaves
 WINDOW = 4  # tokens on each side of a join's first window
@@ -34,6 +40,15 @@ _SPLIT = regex.compile(PATTERN)
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+class Part(NamedTuple):
+    """An encoded stretch of text: ids, the tokens of its first and of its last run, and whether it is a single run."""
+
+    ids: list[int]
+    first: int
+    last: int
+    single: bool
+
+
 class Encoder:
     """One vocabulary in one Python worker."""
 
@@ -74,11 +89,29 @@ class Encoder:
 
     def text(self, text: str | None) -> list[int]:
         """The ids of a text; none for an empty or null one."""
-        if not text:
-            return []
-        if len(text) < LONG_RUN or not _RUNS.search(text):
-            return self.bpe.encode_ordinary(text)
-        return [t for run in self.runs(text) for t in run]
+        return self.tree(text).ids if text else []
+
+    def tree(self, text: str, goes_on: bool = False, open_end: bool = False) -> "Part":
+        """A text's encoding by halves. goes_on and open_end: whether its first or last run reaches beyond it."""
+        at, inside = cut_at(text, len(text) // 2) if len(text) >= 2 * LEAF_CHARS else (len(text), False)
+        if at >= len(text):
+            return self.whole(text, goes_on or open_end)
+        return self.concat(self.tree(text[:at], goes_on, inside), self.tree(text[at:], inside, open_end), inside)
+
+    def whole(self, text: str, edges: bool) -> "Part":
+        """A leaf, with the tokens of its first and last run if `edges` asks for them."""
+        if edges or (len(text) >= LONG_RUN and _RUNS.search(text)):
+            runs = self.runs(text)
+            return Part([t for r in runs for t in r], len(runs[0]), len(runs[-1]), len(runs) == 1)
+        return Part(self.bpe.encode_ordinary(text), 0, 0, False)
+
+    def concat(self, a: "Part", b: "Part", inside: bool) -> "Part":
+        """Two neighbouring parts as one; if the cut lies inside a run, its two pieces are joined by windows."""
+        if not inside:
+            return Part(a.ids + b.ids, a.first, b.last, False)
+        middle = self.join(a.ids[len(a.ids) - a.last :], b.ids[: b.first])
+        ids = a.ids[: len(a.ids) - a.last] + middle + b.ids[b.first :]
+        return Part(ids, len(middle) if a.single else a.first, len(middle) if b.single else b.last, a.single and b.single)
 
     def runs(self, text: str) -> list[list[int]]:
         return [self.run(m.group().encode("utf-8")) for m in _SPLIT.finditer(text)]
@@ -90,6 +123,7 @@ def encoder(vocabulary: str) -> Encoder:
     return _ENCODERS[vocabulary]
 
 
+@lru_cache(maxsize=65_536)
 def _class(c: str) -> str:
     return "s" if c.isspace() else "l" if regex.match(r"\p{L}", c) else "n" if regex.match(r"\p{N}", c) else "o"
 
@@ -98,16 +132,20 @@ def cut_at(text: str, near: int) -> tuple[int, bool]:
     """The first place from `near` on where a text may be cut, and whether the cut lies inside one run.
 
     Between a sign and following white space, and between two signs of different classes (but after white space or an
-    apostrophe), runs end by the pattern itself. Deep inside a run of one class, the run's two parts are joined later.
+    apostrophe), runs end by the pattern itself. Deep inside a run of one class, the run's two parts are joined later; such
+    a place is taken only if no other is within SAFE_REACH.
     """
+    inside = None
     for at in range(max(near, 4), len(text) - 4):
+        if inside is not None and at > inside + SAFE_REACH:
+            break
         before, after = text[at - 1], text[at]
         b, a = _class(before), _class(after)
         if b != "s" and before != "'" and "'" not in text[at - 3 : at] and a != b and after != "'":
             return at, False
-        if b == a and len({_class(c) for c in text[at - 4 : at + 4]}) == 1 and "'" not in text[at - 4 : at + 4]:
-            return at, True
-    return len(text), False
+        if inside is None and b == a and len({_class(c) for c in text[at - 4 : at + 4]}) == 1 and "'" not in text[at - 4 : at + 4]:
+            inside = at
+    return (len(text), False) if inside is None else (inside, True)
 
 
 def parts_of(text: str) -> list[tuple[str, bool]]:
@@ -150,10 +188,10 @@ def _encode_parts(vocabulary: str):
     def run(batches):
         enc = encoder(vocabulary)
         for pdf in batches:
-            runs = [enc.runs(t) for t in pdf.text]
+            parts = [enc.tree(t, True, True) for t in pdf.text]
             yield pd.DataFrame({
                 "_row": pdf["_row"], "_id": pdf["_id"], "part": pdf.part, "inside": pdf.inside,
-                "ids": [[t for r in x for t in r] for x in runs], "first": [len(x[0]) for x in runs], "last": [len(x[-1]) for x in runs],
+                "ids": [p.ids for p in parts], "first": [p.first for p in parts], "last": [p.last for p in parts],
             })
 
     return run
@@ -188,7 +226,7 @@ def encode_corpus(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """(id, ids): one row per row of docs, its whole text as stored by the vocabulary, without special tokens.
 
     Empty and null texts give an empty list; strings of special tokens are ordinary text. Repeated rows and null ids stay.
-    Texts of long_text characters or more are cut into parts that any task may encode; the parts of one text, whose ids
+    Texts of 2 * LEAF_CHARS characters or more are trees; those of long_text characters or more are cut into parts that any task may encode; the parts of one text, whose ids
     are one value of the result anyway, meet again in one task. Other columns are ignored.
     """
     kind = docs.schema[id_column].dataType.simpleString()

@@ -27,6 +27,19 @@ def test_trees_equal_whole_encodings():
         assert enc.text(text) == enc.bpe.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("leaf, reach", [(8, 0), (8, 6), (40, 200), (256, 0)])
+def test_trees_of_any_leaf(monkeypatch, leaf, reach):
+    """Cuts inside runs and at their ends, down to very small leaves, for texts of all kinds."""
+    monkeypatch.setattr(T, "LEAF_CHARS", leaf)
+    monkeypatch.setattr(T, "SAFE_REACH", reach)
+    enc, cuts = T.encoder(T.VOCABULARY), []
+    concat = T.Encoder.concat
+    monkeypatch.setattr(T.Encoder, "concat", lambda self, a, b, inside: cuts.append(inside) or concat(self, a, b, inside))
+    for text in list(texts(80)) + ["Donaudampfschifffahrtselektrizitätenhauptbetriebswerk " * 9, "an ordinary sentence, with some words in it. " * 30]:
+        assert enc.text(text) == enc.bpe.encode_ordinary(text)
+    assert cuts and (True in cuts) and (False in cuts)
+
+
 @pytest.mark.parametrize("size", [60, 300, 1100])
 def test_parts_equal_whole_encodings(monkeypatch, size):
     monkeypatch.setattr(T, "PART", size)
@@ -36,8 +49,9 @@ def test_parts_equal_whole_encodings(monkeypatch, size):
         assert "".join(p for p, _ in parts) == text
         got = []
         for p, inside in parts:
-            runs = enc.runs(p)
-            got.append(([t for r in runs for t in r], inside, len(runs[0]), len(runs[-1])))
+            part = enc.tree(p, True, True)
+            assert part.ids == enc.bpe.encode_ordinary(p)
+            got.append((part.ids, inside, part.first, part.last))
         assert T.join_parts(enc, got) == enc.bpe.encode_ordinary(text)
 
 
@@ -53,6 +67,18 @@ def test_corpus(spark):
     assert T.encode_corpus(df.limit(0)).count() == 0
 
 
+def test_parts_of_long_texts_run_in_several_tasks(spark):
+    """Texts beyond LONG_TEXT by default parameters: one run, ordinary words, and both together."""
+    rng = random.Random(3)
+    words = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(30_000))
+    rows = [(1, words), (2, "ab" * 80_000), (3, words + "é" * 70_000 + words), (4, " " * 120_000)]
+    assert all(len(t) >= T.LONG_TEXT for _, t in rows)
+    enc = T.encoder(T.VOCABULARY)
+    got = {r.doc_id: list(r.ids) for r in T.encode_corpus(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: enc.bpe.encode_ordinary(t) for i, t in rows if i in (1,)} | {i: enc.text(t) for i, t in rows if i != 1}
+    assert enc.bpe.encode_ordinary("ab" * 2_000) == enc.text("ab" * 2_000)
+
+
 def test_slices_lose_no_row(monkeypatch):
     import pyarrow as pa
 
