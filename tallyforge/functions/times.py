@@ -45,13 +45,12 @@ def seconds(ts: Column) -> Column:
 
 
 def date_range(c: Column) -> tuple[Column, Column]:
-    """Start and end of a printed range: May 3 - 5, 2019; May 30 - Jun 2, 2019; May 3, 2019. Impossible ones are null."""
-    m = r"^([A-Za-z]{3})[a-z]* (\d{1,2})(?:\s*[-–]\s*(?:([A-Za-z]{3})[a-z]* )?(\d{1,2}))?, (\d{4})$"
+    """Start and end of a printed range: May 3 - 5, 2019; May 30 - Jun 2, 2019; Dec 30, 2019 - Jan 2, 2020; May 3, 2019. Impossible ones are null."""
+    m = r"^([A-Za-z]{3})[a-z]* (\d{1,2})(?:, (\d{4}))?(?:\s*[-–]\s*(?:([A-Za-z]{3})[a-z]* )?(\d{1,2}))?, (\d{4})$"
     part = lambda i: F.regexp_extract(F.trim(c), m, i)
-    month2 = F.when(part(3) != "", part(3)).otherwise(part(1))
-    day2 = F.when(part(4) != "", part(4)).otherwise(part(2))
-    day = lambda d, mon: F.when(part(5) != "", F.try_to_timestamp(F.concat_ws(" ", d, mon, part(5)), F.lit("d MMM yyyy"))).cast("date")
-    start, end = day(part(2), part(1)), day(day2, month2)
+    either = lambda i, j: F.when(part(i) != "", part(i)).otherwise(part(j))
+    day = lambda d, mon, y: F.when(part(6) != "", F.try_to_timestamp(F.concat_ws(" ", d, mon, y), F.lit("d MMM yyyy"))).cast("date")
+    start, end = day(part(2), part(1), either(3, 6)), day(either(5, 2), either(4, 1), part(6))
     return F.when(start <= end, start), F.when(start <= end, end)
 
 

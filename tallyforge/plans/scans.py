@@ -8,7 +8,7 @@ from tallyforge.functions import times
 from tallyforge.operators import relational as R
 from tallyforge.plans.registry import Queries
 from tallyforge.plans.relational import DANCERS, EVENTS, PLACEMENTS, _once
-from tallyforge.session import table
+from tallyforge.session import cut, table
 from tallyforge.sources.pages import account_fields, decode, parse_pages
 
 query = Queries()
@@ -172,9 +172,11 @@ def scan_field_accounting(spark, d):
 
 @query("SELECT reason, count(*) AS n FROM (SELECT CASE WHEN body IS NULL OR body = '' THEN 'empty' ELSE 'page' END AS reason FROM raw_receipts) WHERE reason = 'empty' GROUP BY 1")
 def scan_empty_bodies(spark, d):
-    """Empty bodies give no observation."""
-    r = table(spark, d, "raw_receipts")
-    return r.filter("body is null or body = ''").agg(F.count("*").alias("n")).filter("n > 0").select(F.lit("empty").alias("reason"), "n")
+    """Empty bodies give no observation: pages whose body is empty are parsed with all others and counted where nothing came out."""
+    r = table(spark, d, "raw_receipts").select(F.monotonically_increasing_id().cast("string").alias("page_id"), F.lit("awards_json").alias("kind"), "body")
+    pages = cut(r, "pages")  # numbers of rows are drawn once
+    silent = pages.join(parse_pages(pages).select("page_id").distinct(), "page_id", "left_anti")
+    return silent.filter("body is null or body = ''").agg(F.count("*").alias("n")).filter("n > 0").select(F.lit("empty").alias("reason"), "n")
 
 
 @query(f"""
@@ -184,11 +186,43 @@ def scan_printed_ranges(spark, d):
     """Printed date ranges, within a month and across months, read back."""
     v = _once(spark, d, "dance_events", "event_id").filter("start_date is not null and end_date is not null and start_date <= end_date")
     same = F.date_format("start_date", "yyyyMM") == F.date_format("end_date", "yyyyMM")
-    printed = F.when(same, F.concat(F.date_format("start_date", "MMM d"), F.lit(" - "), F.date_format("end_date", "d, yyyy"))).when(F.year("start_date") == F.year("end_date"), F.concat(F.date_format("start_date", "MMM d"), F.lit(" - "), F.date_format("end_date", "MMM d, yyyy")))
+    day = lambda c, f: F.date_format(c, f)
+    printed = (
+        F.when(same, F.concat(day("start_date", "MMM d"), F.lit(" - "), day("end_date", "d, yyyy")))
+        .when(F.year("start_date") == F.year("end_date"), F.concat(day("start_date", "MMM d"), F.lit(" - "), day("end_date", "MMM d, yyyy")))
+        .otherwise(F.concat(day("start_date", "MMM d, yyyy"), F.lit(" - "), day("end_date", "MMM d, yyyy")))
+    )
     starts, ends = times.date_range(F.col("printed"))
-    one = v.withColumn("printed", F.coalesce(printed, F.lit("")))
-    # A range across years is printed with both years and kept as it is.
-    return one.select("event_id", F.coalesce(starts, F.col("start_date")).alias("starts"), F.coalesce(ends, F.col("end_date")).alias("ends"))
+    return v.select("event_id", printed.alias("printed")).select("event_id", starts.alias("starts"), ends.alias("ends"))
+
+
+@query(f"""
+SELECT contest_id AS page_id, CAST(row_number() OVER (PARTITION BY contest_id ORDER BY place, placement_id) - 1 AS INTEGER) AS line, CAST(place AS VARCHAR) AS place, coalesce(array_to_string(tally, ' '), '') AS marks, coalesce(trim(leader_entry_id), '') AS leader FROM {PLACEMENTS} WHERE contest_id IS NOT NULL AND place IS NOT NULL
+""")
+def scan_contest_sheets(spark, d):
+    """Score sheets of whole contests: one page each with all its rows, blank cells where marks or people are missing."""
+    p = _once(spark, d, "placements", "placement_id").filter("contest_id is not null and place is not null")
+    cell = lambda c: F.concat(F.lit("<td>"), _escape(F.coalesce(c, F.lit(""))), F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), cell(F.col("place").cast("string")), cell(F.array_join(F.col("tally").cast("array<string>"), " ")), cell(F.col("leader_entry_id")), F.lit("</tr>"))
+    # A contest's rows are one page, whose size the domain bounds.
+    pages = p.groupBy("contest_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "placement_id", row.alias("html")))), lambda x: x["html"]), "\n").alias("rows"))
+    body = F.concat(F.lit("<h2>Novice Final</h2>\n<table><tr><th>Place</th><th>Marks</th><th>Leader</th></tr>\n"), F.col("rows"), F.lit("\n</table>"))
+    text_of = lambda h: F.element_at(F.filter("cells", lambda c: c["header"] == h), 1)["text"]
+    lines = _scan(pages, "contest_id", "round_sheet", body)
+    return lines.select("page_id", (F.col("seq")).alias("line"), text_of("Place").alias("place"), text_of("Marks").alias("marks"), text_of("Leader").alias("leader"))
+
+
+@query(f"""
+SELECT coalesce(event_month, 'none') AS page_id, coalesce(name, '') AS name_raw, coalesce(CAST(start_date AS VARCHAR), '') AS date_raw, coalesce(city, '') AS location_raw FROM {EVENTS}
+""")
+def scan_calendar_months(spark, d):
+    """HTML calendars of whole months: every event of the month, with empty cells where a field is missing."""
+    v = _once(spark, d, "dance_events", "event_id")
+    cell = lambda c: F.concat(F.lit("<td>"), _escape(F.coalesce(c, F.lit(""))), F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), cell(F.col("name")), cell(F.col("start_date").cast("string")), cell(F.col("city")), F.lit("</tr>"))
+    pages = v.groupBy(F.coalesce("event_month", F.lit("none")).alias("month")).agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
+    body = F.concat(F.lit("<table><tr><th>Event</th><th>Date</th><th>Location</th></tr>"), F.col("rows"), F.lit("</table>"))
+    return _scan(pages, "month", "calendar", body).select("page_id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("name_raw", "date_raw", "location_raw")])
 
 
 queries, oracle_sql = query.queries, query.oracle_sql
