@@ -17,7 +17,10 @@ def arriving(spark: SparkSession, sample: str, folder: str, pattern: str, files_
 
 
 def windowed_counts(stream: DataFrame, ts: str, keys: list[str], value: str, length: str, late: str) -> DataFrame:
-    """Counts and sums per key and time window; rows later than `late` behind the newest no longer count."""
+    """Counts and sums per key and time window; rows later than `late` behind the newest no longer count, and windows that old leave the state.
+
+    To be written in update or append mode: complete mode would keep every window for good.
+    """
     return (
         stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
         .groupBy(F.window("_ts", length).alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
@@ -28,21 +31,29 @@ def windowed_counts(stream: DataFrame, ts: str, keys: list[str], value: str, len
 def _streak(key_column: str, ts: str, row_id: str, value: str):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values([ts, row_id])
-        last, streak, seen = state.get if state.exists else (None, -1, 0)
-        for v in rows[value]:
-            streak = streak + 1 if seen and v == last else 0
-            last, seen = v, seen + 1
-        state.update((last, streak, seen))
+        last, streak, seen, newest = state.get if state.exists else (None, -1, 0, None)
+        started = seen > 0
+        for v, t in zip(rows[value], rows[ts].astype("datetime64[us]").astype("int64")):
+            seen += 1
+            if newest is not None and t < newest:
+                continue
+            streak = streak + 1 if started and v == last else 0
+            last, newest, started = v, int(t), True
+        state.update((last, streak, seen, newest))
         yield pd.DataFrame({key_column: [key[0]], "last_value": [last], "streak": [streak], "n_seen": [seen]})
 
     return run
 
 
 def unchanged_streaks(stream: DataFrame, key: str, ts: str, row_id: str, value: str) -> DataFrame:
-    """The current streak of equal values per key, kept as state between triggers. One row per key and trigger."""
+    """The current streak of equal values per key, kept as state between triggers. One row per key and trigger.
+
+    Rows of a trigger are taken in order of time. A row older than the newest of an earlier trigger comes too late to
+    change the streak; it only counts as seen.
+    """
     kind = stream.schema[key].dataType.simpleString()
     return stream.select(key, ts, row_id, value).groupBy(key).applyInPandasWithState(
-        _streak(key, ts, row_id, value), f"`{key}` {kind}, last_value string, streak long, n_seen long", "last_value string, streak long, n_seen long", "update", GroupStateTimeout.NoTimeout,
+        _streak(key, ts, row_id, value), f"`{key}` {kind}, last_value string, streak long, n_seen long", "last_value string, streak long, n_seen long, newest long", "update", GroupStateTimeout.NoTimeout,
     )
 
 
