@@ -35,13 +35,18 @@ def _normal(df: DataFrame, key: list[str], fields: dict[str, str], version: str
 def _cells(fields: dict[str, str]):
     names, kinds = list(fields), list(fields.values())
 
-    def ordered(t: pa.Table) -> tuple[pa.Table, np.ndarray]:
-        t = t.take(pc.sort_indices(t, sort_keys=[("record_key", "ascending")]))
-        return t, t["record_key"].to_numpy(zero_copy_only=False).astype(object)
+    def coded(left: pa.Table, right: pa.Table) -> list[np.ndarray]:
+        """Both sides' keys as numbers of one dictionary, so that sorting and searching compare no strings."""
+        keys = pa.chunked_array([*left["record_key"].chunks, *right["record_key"].chunks], pa.string()).combine_chunks()
+        numbers = keys.dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(keys) else np.zeros(0, dtype=np.int32)
+        return [numbers[: left.num_rows], numbers[left.num_rows :]]
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, lk = ordered(left)
-        right, rk = ordered(right)
+        sides = []
+        for t, codes in zip((left, right), coded(left, right)):
+            order = np.argsort(codes, kind="stable")
+            sides.append((t.take(pa.array(order)), codes[order]))
+        (left, lk), (right, rk) = sides
         if len(lk) and len(rk):
             at = np.minimum(np.searchsorted(rk, lk), len(rk) - 1)
             both = rk[at] == lk
@@ -49,23 +54,25 @@ def _cells(fields: dict[str, str]):
             extra = lk[back] != rk
         else:
             at, both, extra = np.zeros(len(lk), int), np.zeros(len(lk), bool), np.ones(len(rk), bool)
+        l_key, r_key = (t["record_key"].combine_chunks() for t in (left, right))
         parts: list[pa.Table] = []
 
         def emit(keys, field: str, kind: str, a=None, b=None) -> None:
             n, none = len(keys), pa.nulls(len(keys), pa.string())
             text = lambda s: pa.array([s] * n, pa.string())
-            parts.append(pa.table({"record_key": pa.array(keys, pa.string()), "field_name": text(field), "diff_kind": text(kind), "left_value": none if a is None else a, "right_value": none if b is None else b}))
+            parts.append(pa.table({"record_key": keys, "field_name": text(field), "diff_kind": text(kind), "left_value": none if a is None else a, "right_value": none if b is None else b}))
 
-        emit(lk[~both], "", "only_left")
-        emit(rk[extra], "", "only_right")
+        emit(l_key.filter(pa.array(~both)), "", "only_left")
+        emit(r_key.filter(pa.array(extra)), "", "only_right")
         l_at, r_at = pa.array(np.flatnonzero(both)), pa.array(at[both])
+        shared = l_key.take(l_at)
         for i, name in enumerate(names):
             a, b = (pc.fill_null(t[f"v_{i}"].take(x), "").combine_chunks() for t, x in ((left, l_at), (right, r_at)))
             if kinds[i] == "text":
                 a, b = pc.utf8_normalize(a, "NFC"), pc.utf8_normalize(b, "NFC")
             off = pc.not_equal(a, b)
             if pc.any(off).as_py():
-                emit(lk[both][off.to_numpy(zero_copy_only=False)], name, "differs", a.filter(off), b.filter(off))
+                emit(shared.filter(off), name, "differs", a.filter(off), b.filter(off))
         return pa.concat_tables([p.cast(parts[0].schema) for p in parts])
 
     return compare
