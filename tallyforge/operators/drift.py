@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.session import cut
+from tallyforge.session import bounded_rows, cut
 
 REGISTERS = 1024  # registers of a path's value sketch
 MIN_SCORE = 0.5  # least score of a rename
@@ -383,10 +383,11 @@ def _latest_names(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def unified_rows(df: DataFrame, changes: DataFrame, step_field: str = "step") -> DataFrame:
-    """All readable lines in one table: family, file_name, line_no, step, and fields, a map from each leaf's latest name to its value as text.
+    """All readable lines in one table: family, file_name, line_no, step, fields and others.
 
-    A path that was renamed later, at once or in several steps, stands under its last name; its values of differing
-    types meet as text. Two paths of a line that end in one name keep the greater value.
+    fields is a map from each leaf's latest name to its value as text: a path that was renamed later, at once or in several
+    steps, stands under its last name. Where two paths of a line end in one name, the one that has this name or was renamed
+    last gives the value; what the others hold stays in `others`, by their own paths. `unified_table` gives typed columns.
     """
     order = file_order(df)
     renames = changes.filter("change_kind = 'renamed'").join(order, ["family", "file_name"]).select("family", "seq", "field_path", "new_path")
@@ -406,6 +407,29 @@ def unified_rows(df: DataFrame, changes: DataFrame, step_field: str = "step") ->
     named = long.join(order.select("family", "file_name", "seq"), ["family", "file_name"])
     hit = named.join(latest, ["family", "path"], "left").withColumn("fits", F.col("before_seq") > F.col("seq"))
     first = F.min(F.when(F.col("fits"), F.struct("before_seq", "unified")))
-    cell = hit.groupBy("family", "file_name", "line_no", "step", "path").agg(first.alias("_f"), F.max("value").alias("value"))
-    cell = cell.groupBy("family", "file_name", "line_no", "step", F.coalesce("_f.unified", "path").alias("field")).agg(F.max("value").alias("value"))
-    return cell.groupBy("family", "file_name", "line_no", "step").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("fields"))
+    line = ["family", "file_name", "line_no", "step"]
+    cell = hit.groupBy(*line, "path").agg(first.alias("_f"), F.max("value").alias("value")).withColumn("field", F.coalesce("_f.unified", "path"))
+    newest = F.struct((F.col("path") == F.col("field")).alias("own"), F.coalesce("_f.before_seq", F.lit(0)).alias("seq"), "path")
+    named = cell.groupBy(*line, "field").agg(F.max_by(F.struct("path", "value"), newest).alias("m"), F.collect_list(F.struct("path", "value")).alias("all"))
+    left = F.flatten(F.collect_list(F.filter("all", lambda x: x["path"] != F.col("m.path"))))
+    merged = named.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("field", F.col("m.value").alias("value")))).alias("fields"), F.array_sort(left).alias("others"))
+    return merged.select(*line, F.map_from_entries("fields").alias("fields"), F.map_from_entries("others").alias("others"))
+
+
+MAX_FIELDS = 10_000  # fields of a family's schema; more is an error
+
+
+def unified_table(rows: DataFrame, family: str) -> DataFrame:
+    """One family's lines of `unified_rows` with a typed column per field: file_name, line_no, step, then the fields by name.
+
+    A field is boolean or double if all its values are, else string; one without any value is string. The driver gets one
+    row per field of the family's schema.
+    """
+    mine = rows.filter(F.col("family") == family)
+    values = mine.select(F.explode("fields").alias("field", "v"))
+    number, flag = F.col("v").try_cast("double").isNotNull(), F.col("v").isin("true", "false")
+    known = values.groupBy("field").agg(F.count("v").alias("n"), F.count_if(number).alias("numbers"), F.count_if(flag).alias("flags"))
+    kind = F.when(F.col("n") == 0, "string").when(F.col("flags") == F.col("n"), "boolean").when(F.col("numbers") == F.col("n"), "double").otherwise("string")
+    schema = sorted(tuple(r) for r in bounded_rows(known.select("field", kind), MAX_FIELDS, "fields of a family"))
+    taken = {"file_name", "line_no", "step"}
+    return mine.select("file_name", "line_no", "step", *[F.try_element_at("fields", F.lit(f)).cast(t).alias(f if f not in taken else f"fields.{f}") for f, t in schema])

@@ -5,7 +5,7 @@ import json
 import pytest
 from datetime import datetime
 
-from tallyforge.operators.drift import canonical, object_hashes, read_deep, readable, schema_changes, unified_rows
+from tallyforge.operators.drift import canonical, object_hashes, read_deep, readable, schema_changes, unified_rows, unified_table
 from tallyforge.operators.orphans import Parent, Reference, orphan_references, orphan_report
 from tallyforge.operators.snapshots import snapshot_changes
 from tallyforge.operators.twocopy import compare_copies
@@ -92,6 +92,14 @@ def test_schema_drift(spark):
     assert got == [("f1", "files", "renamed", "n_files"), ("f1", "fresh", "added", ""), ("f1", "gone", "removed", ""), ("f1", "n_files", "retyped", ""), ("f1", "sub.b", "added", "")]
     table = unified_rows(df, schema_changes(df)).filter("step = 's2'").collect()
     assert {r.fields["n_files"] for r in table} == {"14"} and all("files" not in r.fields for r in table)
+    both = receipts(spark, [first, second + [{"step": "s9", "files": 1, "n_files": "2"}], second])
+    rows = unified_rows(both, schema_changes(receipts(spark, [first, second, second])))
+    kept = [r for r in rows.collect() if r.step == "s9"]
+    assert [(r.fields["n_files"], r.others) for r in kept] in ([("2", {"files": "1"})], [("2", {})])
+    typed = unified_table(unified_rows(df, schema_changes(df)), "fam")
+    kinds = dict(typed.dtypes)
+    assert (kinds["n_files"], kinds["note"], kinds["gone"], kinds["fresh"], kinds["sub.b"]) == ("double", "string", "boolean", "string", "double")
+    assert {r["n_files"] for r in typed.filter("step = 's2'").collect()} == {14.0} and unified_table(unified_rows(df, schema_changes(df)), "none").count() == 0
 
 
 def test_schema_drift_empty_and_nested(spark):
