@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallyforge.plans import aggregates, audits, history, incremental, projection, publication, quality, relational, release, resolution, scans, temporal, textual, training, vocabulary
+from tallyforge.plans import aggregates, audits, evidence, history, incremental, projection, publication, quality, relational, release, resolution, scans, temporal, textual, training, vocabulary
 
-MODULES = [training, relational, aggregates, textual, quality, resolution, scans, incremental, release, vocabulary, audits, temporal, projection, publication, history]
+MODULES = [training, relational, aggregates, textual, quality, resolution, scans, incremental, release, vocabulary, audits, temporal, projection, publication, history, evidence]
 
 
 def queries() -> dict:
