@@ -29,7 +29,7 @@ from tallyforge.session import cut
 W_SIMILAR, W_PRIOR, W_EXCLUSIVE, W_SAME = 2.5, 0.25, 3.0, 0.3
 RHO, RELAX = 2.0, 1.7  # step of the multipliers, and how far a step goes beyond the copies
 STEPS = 6  # steps between two written tables
-TOLERANCE, MAX_STEPS = 0.02, 120  # steps end where copies and values move less than this, or after so many
+TOLERANCE, MAX_STEPS = 0.01, 120  # steps end where copies and values move less than this, or after so many
 ACCEPT = 0.5  # least confidence of a match
 # Similarity by the kind of agreement of two names.
 SIMILARITY = {"exact": 1.0, "glued": 0.9, "slip": 0.85, "nick": 0.85, "half": 0.8, "short": 0.75, "long": 0.75}
@@ -213,4 +213,4 @@ def link_entries(entries: DataFrame, registry: DataFrame, people: DataFrame, eve
     return best.filter((F.col("m.confidence") >= ACCEPT) & clear).select(F.col("record").alias("entry_id"), F.col("m.entity").alias("wsdc_id"), F.col("m.confidence").alias("confidence"))
 
 
-MARGIN = 0.04  # what a match must be ahead of all others by: twice what the steps may still move
+MARGIN = 0.02  # what a match must be ahead of all others by: twice what the steps may still move
