@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyforge.functions import times
 from tallyforge.operators import relational as R
 from tallyforge.plans.registry import Queries
 from tallyforge.plans.relational import ENTRIES, EVENTS, PLACEMENTS, _once
-from tallyforge.session import bounded_rows, shared_dir, table
+from tallyforge.session import bounded_rows, scratch, table
 from tallyforge.sources import sinks
 from tallyforge.streaming import streams
 
@@ -19,7 +18,7 @@ MAX_RELEASES = 10_000  # more parts of a log at once are an error
 
 
 def _path(spark, name):
-    return f"{shared_dir(spark)}/tallyforge/out-{name}-{uuid.uuid4().hex}"
+    return scratch(spark, f"out-{name}")
 
 
 @query(f"SELECT entry_id, contest_id, name_raw FROM {ENTRIES}")
@@ -194,4 +193,31 @@ def stream_first_seen(spark, d):
     return streams.run_to_table(streams.new_bodies(s, ["user_id", "event_type"], "ts", "3650 days"), _path(spark, "first"), "append").select("user_id", "event_type")
 
 
+@query(f"SELECT entry_id, CAST(wsdc_id AS BIGINT) AS wsdc_id, bib FROM {ENTRIES}")
+def read_declared(spark, d):
+    """A written table read by a declared schema: wider types by cast, other columns left out."""
+    path = scratch(spark, "declared")
+    _once(spark, d, "entries", "entry_id").select("entry_id", "wsdc_id", "bib", "role").write.parquet(path)
+    return sinks.read_typed(spark, path, StructType().add("entry_id", "string").add("wsdc_id", "long").add("bib", "string"))
+
+
+@query(f"SELECT event_id, CASE WHEN \"year\" % 2 = 0 THEN city END AS city, CASE WHEN \"year\" % 2 = 1 THEN country END AS country FROM {EVENTS} WHERE \"year\" IS NOT NULL")
+def read_partitions(spark, d):
+    """Partitions of differing schemas as one table; columns a partition lacks are null."""
+    v, paths = _once(spark, d, "dance_events", "event_id").filter("year is not null"), []
+    for rest, columns in ((0, ["event_id", "city"]), (1, ["event_id", "country"])):
+        paths.append(scratch(spark, f"part{rest}"))
+        v.filter(F.col("year") % 2 == rest).select(*columns).write.parquet(paths[-1])
+    out = sinks.read_merged(spark, paths, StructType().add("event_id", "string").add("city", "string").add("country", "string"))
+    return out.filter("file is not null").drop("file")
+
+
+@query("SELECT DISTINCT nickname, canonical FROM nicknames WHERE nickname IS NOT NULL AND canonical IS NOT NULL")
+def read_reviewed(spark, d):
+    """Reviewed rules from CSV with a header, of which none may break the schema."""
+    path = scratch(spark, "rules")
+    table(spark, d, "nicknames").select("nickname", "canonical").dropna().distinct().write.option("header", "true").csv(path)
+    return sinks.read_overrides(spark, path, "nickname string, canonical string")
+
+
 queries, oracle_sql = query.queries, query.oracle_sql

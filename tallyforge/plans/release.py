@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from tallyforge.operators.release import Table, build_release, check_tables, clo
 from tallyforge.plans.registry import Queries
 from tallyforge.plans.relational import CONTESTS, DANCERS, ENTRIES, EVENTS, PLACEMENTS, _once
 from tallyforge.plans.textual import _PLAIN
-from tallyforge.session import bounded_rows, cut, shared_dir, table
+from tallyforge.session import bounded_rows, cut, scratch, table
 
 query = Queries()
 
@@ -53,7 +51,7 @@ def release_build(spark, d):
         "entries": t["entries"].df.withColumn("wsdc_id", F.coalesce("wsdc_id", F.lit(-1))), "contests": t["contests"].df.withColumn("division", F.when(F.col("division") != "unknown", F.col("division"))),
         "dance_events": t["dance_events"].df.withColumn("city", F.coalesce("city", F.lit("?"))), "placements": t["placements"].df,
     }
-    return build_release(t, f"{shared_dir(spark)}/tallyforge/release-{uuid.uuid4().hex}", before).select("table_name", "n_rows", "n_changes")
+    return build_release(t, scratch(spark, "release"), before).select("table_name", "n_rows", "n_changes")
 
 
 _SPANS = """

@@ -42,16 +42,18 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-def cut(df: DataFrame, tag: str = "cut") -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there, and a lost executor costs no recomputation.
-
-    The table is deleted when the driver's Python ends, not earlier, since plans made from it may still read it.
-    """
-    spark = df.sparkSession
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, deleted when the driver's Python ends, not earlier, since plans may still read it."""
     path = f"{shared_dir(spark)}/tallyforge/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def cut(df: DataFrame, tag: str = "cut") -> DataFrame:
+    """Write df to the shared folder and read it back: the lineage ends there, and a lost executor costs no recomputation."""
+    path = scratch(df.sparkSession, tag)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_rows(df: DataFrame, bound: int, what: str) -> list:
