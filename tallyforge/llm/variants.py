@@ -1,10 +1,10 @@
 """Variant spellings of names, by merging and matching again.
 
 Every distinct name is read into a form. Forms are the first profiles; a profile is the union of the given names and of the
-surname spellings merged into it. Each round joins the unions that have grown with all other names again, since a spelling
-may fit what two forms hold together and neither alone, and judges all pairs between the profiles as they have grown: a
-short form that fitted two profiles fits one after these merge, and a rare spelling is measured against the whole weight of
-a profile. Rounds end when no pair merges any more; without a merge no union grows and no pair is new.
+surname spellings merged into it. A round judges all pairs between the profiles as they have grown: a short form that
+fitted two profiles fits one after these merge, and a rare spelling is measured against the whole weight of a profile. When
+nothing merges any more, the unions that have grown are looked up again among all names, since a spelling may fit what two
+forms hold together and neither alone; new pairs start new rounds. Without a merge no union grows and no pair is new.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.names import FORM, learned_nicknames, meet, nickname_owners, single_names, source_keys, target_keys, word_slips
 from tallyforge.session import cut
 
-MAX_ROUNDS = 30  # more rounds than merges can take is an error, not a cut
+MAX_ROUNDS = 60  # more rounds than merges can take is an error, not a cut
 RARE = 0.2  # a slip's word has at most two partners, or this share of the right word's
 CLEAR = 6.0  # a short form goes to a profile that outweighs all others it fits so many times
 FORM_COLUMNS = ["form", *FORM]
@@ -41,30 +41,37 @@ def profiles(names: DataFrame, nicknames: DataFrame) -> DataFrame:
     owners = nickname_owners(nicknames)
     sources, targets = cut(source_keys(forms, slips, owners), "sources"), cut(target_keys(forms, owners), "targets")
     pairs = cut(_fit(meet(sources, targets.hint("merge")), partners), "pairs")
-    state = forms.select("form", "x", "y", "hx", "hy", "n", F.col("form").alias("root"), F.col("n").alias("w"))
+    state = forms.select(*FORM_COLUMNS, "n", F.col("form").alias("root"), F.col("n").alias("w"), F.lit(False).alias("grew"))
     for _ in range(MAX_ROUNDS):
         merges = cut(_merges(state, _closest(pairs)), "merges")
-        if merges.isEmpty():
-            return state.filter("n > 0").select("form", "n", "root", "w")
-        moved = state.drop("w").join(merges, "root", "left").select(*FORM_COLUMNS, "n", F.coalesce("into", "root").alias("root"))
-        moved = cut(moved.distinct(), "moved")
-        grown = cut(_unions(moved.join(merges.select(F.col("into").alias("root")).distinct(), "root", "left_semi")), "unions")
+        if not merges.isEmpty():
+            moved = state.drop("w").join(merges, "root", "left")
+            moved = moved.select(*FORM_COLUMNS, "n", F.coalesce("into", "root").alias("root"), (F.col("grew") | F.col("into").isNotNull()).alias("grew"))
+            state = _weighed(cut(moved.distinct(), "moved"))
+            continue
+        # Nothing merges as things stand: what has grown since the last look enters the blocking again.
+        grown = cut(_unions(state.join(state.filter("grew").select("root").distinct(), "root", "left_semi")), "unions")
         size = grown.count()
-        if size:
-            new = grown.select(*FORM_COLUMNS).distinct()
-            new_sources, new_targets = cut(source_keys(new, slips, owners), "sources"), cut(target_keys(new, owners), "targets")
-            few = lambda df: F.broadcast(df) if size <= FEW else df.hint("merge")
-            sources, met = sources.unionByName(new_sources), meet(few(new_sources), targets)
-            targets, met = targets.unionByName(new_targets), met.unionByName(meet(sources, few(new_targets)))
-            every = moved.unionByName(grown)
-            same = few(grown.select("form", "root")).join(every.select("form", F.col("root").alias("r")), "form").filter("r <> root").select("form", F.col("form").alias("target"), F.lit("half").alias("kind"), F.lit(False).alias("rarer"))
-            found = cut(_fit(met, partners).unionByName(same), "found")
-            pairs = cut(pairs.unionByName(found).distinct(), "pairs")
-            moved = every
-        state = cut(moved.join(moved.groupBy("root").agg(F.sum("n").alias("w")), "root"), "state")
+        if not size:
+            return state.filter("n > 0").select("form", "n", "root", "w")
+        new = grown.select(*FORM_COLUMNS).distinct()
+        new_sources, new_targets = cut(source_keys(new, slips, owners), "sources"), cut(target_keys(new, owners), "targets")
+        few = lambda df: F.broadcast(df) if size <= FEW else df.hint("merge")
+        sources, met = sources.unionByName(new_sources), meet(few(new_sources), targets)
+        targets, met = targets.unionByName(new_targets), met.unionByName(meet(sources, few(new_targets)))
+        every = state.drop("w", "grew").unionByName(grown)
+        same = few(grown.select("form", "root")).join(every.select("form", F.col("root").alias("r")), "form").filter("r <> root").select("form", F.col("form").alias("target"), F.lit("half").alias("kind"), F.lit(False).alias("rarer"))
+        found = cut(_fit(met, partners).unionByName(same), "found")
+        pairs = cut(pairs.unionByName(found).distinct(), "pairs")
+        state = _weighed(every.withColumn("grew", F.lit(False)))
     raise RuntimeError(f"merging went on after {MAX_ROUNDS} rounds")
 
 
+def _weighed(forms: DataFrame) -> DataFrame:
+    """The forms with the weight of their profiles."""
+    return cut(forms.join(forms.groupBy("root").agg(F.sum("n").alias("w")), "root"), "state")
+
+
 FEW = 10_000  # grown names of a round whose keys, some twenty each, are broadcast
 
 
