@@ -30,7 +30,6 @@ MAX_LABELLED = 15_000  # labelled documents the model starts from, chosen by a h
 MAX_LABELLED_CHARS = 200_000_000  # and their characters
 MAX_WORDS = 20_000  # words of the model, by the number of labelled documents that hold them
 MAX_SUBJECTS = 256
-MIN_WORD_DOCS = 3
 CHANCE = 3.0  # standard deviations above chance from which a word counts for a subject at first
 LIMIT = 8.0  # log odds beyond this are alike
 MIN_SENTENCES = 3
@@ -172,7 +171,7 @@ def train(docs: list[tuple[str, set[str], str | None]], subjects: list[str]) ->
     languages = learn_languages([(p, lang) for p, _, lang in read])
     parsed = [(p, languages.of(p), labels) for p, labels, _ in read]
     held = Counter((t, w) for p, t, _ in parsed for w in {w for s in p for w in s})
-    kept = [w for w, n in sorted(held.items(), key=lambda x: (-x[1], x[0])) if n >= MIN_WORD_DOCS][:MAX_WORDS]
+    kept = [w for w, _ in sorted(held.items(), key=lambda x: (-x[1], x[0]))][:MAX_WORDS]
     words = {w: i for i, w in enumerate(kept)}
     v, k = len(words), len(subjects)
     on, total, in_docs = np.zeros((v, k)), np.zeros(v), np.zeros((len(languages.log_share), k))
