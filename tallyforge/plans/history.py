@@ -230,4 +230,78 @@ def rederivation_check(spark, d):
     return digest(e).join(other, F.col("contest_id").eqNullSafe(F.col("c")), "full_outer").select(F.coalesce("contest_id", "c").alias("contest_id"), "n", F.coalesce((F.col("n") == F.col("m")) & (F.col("x") == F.col("y")), F.lit(False)).alias("agrees"))
 
 
+@query(f"""
+WITH a AS (SELECT event_id, max(struct_pack(t := last_seen_at, s := snapshot_id)) AS m FROM contests WHERE event_id IS NOT NULL AND last_seen_at IS NOT NULL AND parse_status = 'parsed' GROUP BY 1)
+SELECT e.event_id, a.m.s AS anchor, count(*) FILTER (WHERE e.first_seen_at <= a.m.t) AS compatible, count(*) FILTER (WHERE e.first_seen_at > a.m.t OR a.m IS NULL) AS withheld FROM {ENTRIES} e LEFT JOIN a USING (event_id) WHERE e.event_id IS NOT NULL AND e.first_seen_at IS NOT NULL GROUP BY 1, 2
+""")
+def release_selection(spark, d):
+    """Each event's anchor, its newest read contest, and how many entries go with it; those seen later are withheld."""
+    c = table(spark, d, "contests").filter("event_id is not null and last_seen_at is not null and parse_status = 'parsed'")
+    a = c.groupBy("event_id").agg(F.max(F.struct("last_seen_at", "snapshot_id")).alias("m")).select("event_id", F.col("m.last_seen_at").alias("t"), F.col("m.snapshot_id").alias("anchor"))
+    e = _once(spark, d, "entries", "entry_id").filter("event_id is not null and first_seen_at is not null").select("event_id", "first_seen_at").join(a, "event_id", "left")
+    fits = F.coalesce(F.col("first_seen_at") <= F.col("t"), F.lit(False))
+    return e.groupBy("event_id", "anchor").agg(F.count_if(fits).alias("compatible"), F.count_if(~fits).alias("withheld"))
+
+
+@query("""
+WITH v AS (SELECT family, file_name, min(recorded_at) AS t0, max(CASE WHEN json_valid(body) THEN json_extract_string(body, '$.format') END) AS fence, count(*) FILTER (WHERE json_valid(body)) AS n FROM raw_receipts GROUP BY 1, 2), w AS (SELECT *, lag(fence) OVER (PARTITION BY family ORDER BY t0, file_name) AS before, lag(n) OVER (PARTITION BY family ORDER BY t0, file_name) AS n0 FROM v)
+SELECT file_name, CASE WHEN fence IS NULL THEN 'no fence' WHEN before IS NULL THEN 'first' WHEN fence <> before THEN 'other fence' WHEN n > n0 THEN 'progress' ELSE 'standstill' END AS verdict FROM w
+""")
+def progress_verdicts(spark, d):
+    """Whether a receipt file counts as progress: only against one of the same fence, and with more readable lines."""
+    ok = F.expr("try_parse_json(body) is not null")
+    v = table(spark, d, "raw_receipts").groupBy("family", "file_name").agg(F.min("recorded_at").alias("t0"), F.max(F.when(ok, F.get_json_object("body", "$.format"))).alias("fence"), F.count_if(ok).alias("n"))
+    w = Window.partitionBy("family").orderBy("t0", "file_name")
+    v = v.withColumn("before", F.lag("fence").over(w)).withColumn("n0", F.lag("n").over(w))
+    verdict = F.when(F.col("fence").isNull(), "no fence").when(F.col("before").isNull(), "first").when(F.col("fence") != F.col("before"), "other fence").when(F.col("n") > F.col("n0"), "progress").otherwise("standstill")
+    return v.select("file_name", verdict.alias("verdict"))
+
+
+_SHEET_COLUMNS = {"Place": "place", "Marks": "marks_sorted", "Leader": "leader_entry_id", "Follower": "follower_entry_id", "Points": "registry_points_leader"}
+
+
+@query(f"""
+WITH c AS (SELECT placement_id, unnest([{', '.join(f"{{'h': '{h}', 'v': CAST({c} AS VARCHAR)}}" for h, c in _SHEET_COLUMNS.items())}]) AS c FROM {PLACEMENTS})
+SELECT c.h AS header, c.h IN ('Place', 'Marks', 'Leader', 'Follower') AS handled, count(*) AS cells, count(*) FILTER (WHERE coalesce(trim(c.v), '') <> '') AS filled FROM c GROUP BY 1, 2
+""")
+def round_contract(spark, d):
+    """Every column of the score sheets: whether the contract handles it, how many cells there are, and how many hold something."""
+    from tallyforge.sources.pages import decode, parse_pages
+
+    p = _once(spark, d, "placements", "placement_id")
+    cell = lambda c: F.concat(F.lit("<td>"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("</td>"))
+    head = "".join(f"<th>{h}</th>" for h in _SHEET_COLUMNS)
+    body = F.concat(F.lit(f"<h2>Novice Final</h2><table><tr>{head}</tr><tr>"), *[cell(c) for c in _SHEET_COLUMNS.values()], F.lit("</tr></table>"))
+    rows = decode(parse_pages(p.select(F.col("placement_id").alias("page_id"), F.lit("round_sheet").alias("kind"), body.alias("body"))), "round_sheet")
+    cells = rows.select(F.explode("cells").alias("c")).select(F.col("c.header").alias("header"), F.col("c.text").alias("v"))
+    return cells.groupBy("header", F.col("header").isin("Place", "Marks", "Leader", "Follower").alias("handled")).agg(F.count("*").alias("cells"), F.count_if(F.trim("v") != "").alias("filled"))
+
+
+@query(f"""
+SELECT p.contest_id, c.name_raw AS contest_name_raw, 'final' AS round_name_raw, p.source, count(*) AS n_rows, max(len(tally)) AS n_judges, CASE WHEN max(len(tally)) IS NULL THEN 'unknown' ELSE 'ranks' END AS scoring_method_raw FROM {PLACEMENTS} p JOIN {CONTESTS} c USING (contest_id) GROUP BY 1, 2, 4
+""")
+def sheet_records(spark, d):
+    """Source records of finals brought to one form of sheet: names, rows, judges and what the scores are."""
+    c = _once(spark, d, "contests", "contest_id").select("contest_id", F.col("name_raw").alias("contest_name_raw"))
+    j = _once(spark, d, "placements", "placement_id").select("contest_id", "source", "tally").join(c, "contest_id")
+    n = F.max(F.when(F.col("tally").isNotNull(), F.size("tally")))
+    return j.groupBy("contest_id", "contest_name_raw", "source").agg(F.count("*").alias("n_rows"), n.alias("n_judges")).select(
+        "contest_id", "contest_name_raw", F.lit("final").alias("round_name_raw"), "source", "n_rows", "n_judges", F.when(F.col("n_judges").isNull(), "unknown").otherwise("ranks").alias("scoring_method_raw")
+    )
+
+
+@query("""
+SELECT strftime(published_at, '%Y-%m') AS page_id, '/issues/' || doc_id AS source_ref, 'Issue ' || doc_id AS name_raw FROM (SELECT DISTINCT doc_id, published_at FROM documents WHERE source = 'newsletter' AND published_at IS NOT NULL)
+""")
+def scan_issue_index(spark, d):
+    """Index pages of a newsletter, one a month, and the issues their links lead to."""
+    from tallyforge.sources.pages import decode, parse_pages
+
+    x = table(spark, d, "documents").filter("source = 'newsletter' and published_at is not null").select(F.date_format("published_at", "yyyy-MM").alias("month"), F.col("doc_id").cast("string").alias("doc_id"), "published_at").distinct()
+    link = F.concat(F.lit('<li><a href="/issues/'), F.col("doc_id"), F.lit('">Issue '), F.col("doc_id"), F.lit("</a></li>"))
+    pages = x.groupBy("month").agg(F.array_join(F.array_sort(F.collect_list(link)), "").alias("links"))
+    body = F.concat(F.lit("<ul>"), F.col("links"), F.lit("</ul>"))
+    return decode(parse_pages(pages.select(F.col("month").alias("page_id"), F.lit("event_index").alias("kind"), body.alias("body"))), "event_index").select("page_id", "source_ref", "name_raw")
+
+
 queries, oracle_sql = query.queries, query.oracle_sql
