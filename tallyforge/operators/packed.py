@@ -225,7 +225,7 @@ def learn_codes(long: DataFrame, rounds: int = 2) -> dict[str, ValueCode]:
     parallel. What reaches the driver is the chain: at most classes squared times MAX_WORDS rows a field, whatever the data.
     """
     shapes = (
-        (long if "shape" in long.columns else long.select("field_name", shape(F.col("text")).alias("shape"))).filter(F.col("shape").isNotNull())
+        (long.filter(F.col("shape").isNotNull()) if "shape" in long.columns else long.filter(F.col("text").isNotNull()).select("field_name", shape(F.col("text")).alias("shape")))
         .groupBy("field_name", "shape").agg(F.count("*").cast("double").alias("n"))
         .filter(F.length(F.trim("shape")) > 0)
         .persist()
