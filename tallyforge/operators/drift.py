@@ -416,20 +416,36 @@ def unified_rows(df: DataFrame, changes: DataFrame, step_field: str = "step") ->
     return merged.select(*line, F.map_from_entries("fields").alias("fields"), F.map_from_entries("others").alias("others"))
 
 
-MAX_FIELDS = 10_000  # fields of a family's schema; more is an error
+MAX_FIELDS = 10_000  # fields of a table's schema; more is an error
 
 
-def unified_table(rows: DataFrame, family: str) -> DataFrame:
-    """One family's lines of `unified_rows` with a typed column per field: file_name, line_no, step, then the fields by name.
+def unified_table(rows: DataFrame, family: str | None = None) -> DataFrame:
+    """The lines of `unified_rows`, of all families or of one, with typed columns: family, file_name, line_no, step, others, then the fields by name.
 
-    A field is boolean or double if all its values are, else string; one without any value is string. The driver gets one
-    row per field of the family's schema.
+    In its family a field is boolean or double if all its values are, else string; one without any value has no type there.
+    A field of one type in all families is one column, string where it has no value at all. Where families differ there is a
+    column per type, `field:type`, and a line's value stands in the one of its family. Names count without case; `fields.` is put
+    before a name that is taken. The driver gets one row per field of the schema.
     """
-    mine = rows.filter(F.col("family") == family)
-    values = mine.select(F.explode("fields").alias("field", "v"))
+    mine = rows if family is None else rows.filter(F.col("family") == family)
+    values = mine.select("family", F.explode("fields").alias("field", "v"))
     number, flag = F.col("v").try_cast("double").isNotNull(), F.col("v").isin("true", "false")
-    known = values.groupBy("field").agg(F.count("v").alias("n"), F.count_if(number).alias("numbers"), F.count_if(flag).alias("flags"))
-    kind = F.when(F.col("n") == 0, "string").when(F.col("flags") == F.col("n"), "boolean").when(F.col("numbers") == F.col("n"), "double").otherwise("string")
-    schema = sorted(tuple(r) for r in bounded_rows(known.select("field", kind), MAX_FIELDS, "fields of a family"))
-    taken = {"file_name", "line_no", "step"}
-    return mine.select("file_name", "line_no", "step", *[F.try_element_at("fields", F.lit(f)).cast(t).alias(f if f not in taken else f"fields.{f}") for f, t in schema])
+    known = values.groupBy("family", "field").agg(F.count("v").alias("n"), F.count_if(number).alias("numbers"), F.count_if(flag).alias("flags"))
+    kind = F.when(F.col("n") == 0, None).when(F.col("flags") == F.col("n"), "boolean").when(F.col("numbers") == F.col("n"), "double").otherwise("string")
+    kinds = cut(known.select("family", "field", kind.alias("kind")), "kinds")
+    schema = sorted(tuple(r) for r in bounded_rows(kinds.groupBy("field").agg(F.array_sort(F.collect_set("kind"))), MAX_FIELDS, "fields of a table"))
+    several = [f for f, types in schema if len(types) > 1]
+    if several:
+        own = kinds.filter(F.col("field").isin(several) & F.col("kind").isNotNull()).groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("field", "kind"))).alias("_kinds"))
+        mine = mine.join(own, "family", "left")
+    first = ["family", "file_name", "line_no", "step", "others"]
+    columns, taken = [], set(first)
+    for f, types in schema:
+        value = F.try_element_at("fields", F.lit(f))
+        for t in types or ["string"]:
+            name = f if len(types) < 2 else f"{f}:{t}"
+            while not name or name.lower() in taken:
+                name = f"fields.{name}"
+            taken.add(name.lower())
+            columns.append((value if len(types) < 2 else F.when(F.try_element_at("_kinds", F.lit(f)) == t, value)).cast(t).alias(name))
+    return mine.select(*first, *columns)

@@ -9,6 +9,7 @@ from tallyforge.operators.drift import canonical, object_hashes, read_deep, read
 from tallyforge.operators.orphans import Parent, Reference, orphan_references, orphan_report
 from tallyforge.operators.snapshots import snapshot_changes
 from tallyforge.operators.twocopy import compare_copies
+from tallyforge.plans import training
 from pyspark.sql import functions as F
 
 FIELDS = {"name": "text", "n": "number", "day": "date", "tags": "set"}
@@ -102,6 +103,37 @@ def test_schema_drift(spark):
     assert {r["n_files"] for r in typed.filter("step = 's2'").collect()} == {14.0} and unified_table(unified_rows(df, schema_changes(df)), "none").count() == 0
 
 
+def test_typed_table_of_all_families(spark, tmp_path):
+    """Every line of every family, also where families differ in a field's type or in its letters' case."""
+    a = [{"step": "s1", "ok": True, "n": 1, "host": "h", "empty": None}, {"step": "s2", "ok": None, "n": "2.5", "sub": {"x": 1}}]
+    b = [{"step": "s1", "ok": "yes", "Host": "H", "sub": {"x": 2}}, {"step": "s2", "ok": "true"}, {"step": "s3", "family": "f", "others": 3, "ok:string": 4}]
+    c = [{"step": "s1", "ok": None, "n": 3, "": 5}]
+    day = datetime(2024, 1, 1)
+    lines = [(family, f"{family}-1", day, n, json.dumps(x)) for family, rows in (("a", a), ("b", b), ("c", c)) for n, x in enumerate(rows, 1)]
+    lines += [("c", "c-1", day, 2, "{broken"), ("b", "b-1", day, 1, json.dumps(b[0])), ("d", "d-1", day, 1, None)]
+    spark.createDataFrame(lines, "family string, file_name string, recorded_at timestamp_ntz, line_no int, body string").write.parquet(f"{tmp_path}/in/raw_receipts.parquet")
+    training.p6_table(spark, f"{tmp_path}/in").write.parquet(f"{tmp_path}/out")
+    df = spark.read.parquet(f"{tmp_path}/out")
+    assert dict(df.dtypes) == {
+        "family": "string", "file_name": "string", "line_no": "int", "step": "string", "others": "map<string,string>", "fields.": "double", "Host": "string", "empty": "string", "fields.family": "string", "fields.host": "string",
+        "n": "double", "ok:boolean": "boolean", "ok:string": "string", "fields.ok:string": "double", "fields.others": "double", "fields.step": "string", "sub.x": "double",
+    }
+    got = {(r["family"], r["line_no"]): {k: v for k, v in r.asDict().items() if v is not None and k not in ("family", "file_name", "line_no", "step", "others", "fields.step")} for r in df.collect()}
+    assert df.count() == len(got) == 6 and got == {
+        ("a", 1): {"ok:boolean": True, "n": 1.0, "fields.host": "h"}, ("a", 2): {"n": 2.5, "sub.x": 1.0}, ("b", 1): {"ok:string": "yes", "Host": "H", "sub.x": 2.0},
+        ("b", 2): {"ok:string": "true"}, ("b", 3): {"fields.family": "f", "fields.others": 3.0, "fields.ok:string": 4.0}, ("c", 1): {"n": 3.0, "fields.": 5.0},
+    }
+
+
+def test_typed_table_keeps_others(spark):
+    """What the paths of one name hold besides its value stays in the table, too."""
+    lines = "family string, file_name string, line_no int, step string, fields map<string,string>, others map<string,string>"
+    rows = spark.createDataFrame([("a", "f", 1, "s", {"n": "1"}, {"m": "2"}), ("b", "g", 1, "s", {"n": "x"}, {})], lines)
+    got = {r["family"]: (r["n:double"], r["n:string"], r["others"]) for r in unified_table(rows).collect()}
+    assert got == {"a": (1.0, None, {"m": "2"}), "b": (None, "x", {})}
+    assert [r["n"] for r in unified_table(rows, "a").collect()] == [1.0]
+
+
 def test_schema_drift_empty_and_nested(spark):
     assert schema_changes(receipts(spark, [])).count() == 0
     deep = "{" + '"a":{' * 3_000 + "}" * 3_001
