@@ -382,38 +382,68 @@ def _latest_names(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(pdf.family.iloc[0], p, s, t) for p, x in spans.items() for s, t in x], columns=["family", "path", "before_seq", "unified"])
 
 
+def _cells_of(step_field: str):
+    """Per readable line the path and the value as text of every leaf."""
+    names = ["family", "file_name", "line_no", "step", "cells"]
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.string()]
+
+    def rows(lines: list[tuple], paths: list, values: list, ends: list) -> pa.RecordBatch:
+        columns = zip(*lines) if lines else [[] for _ in kinds]
+        entries = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(values, pa.string())], ["path", "value"])
+        return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)], names)
+
+    def run(batches):
+        for batch in batches:
+            lines, paths, values, ends = [], [], [], [0]
+            for family, file, line, body in zip(*(batch.column(c).to_pylist() for c in ("family", "file_name", "line_no", "body"))):
+                obj = readable(body)
+                if obj is None:
+                    continue
+                step = obj.get(step_field)
+                for path, v in fields_of(obj):
+                    if not isinstance(v, dict):
+                        paths.append(path)
+                        values.append(None if v is None else canonical(v))
+                lines.append((family, file, line, None if step is None else canonical(step)))
+                ends.append(len(paths))
+                if len(paths) > CELLS:
+                    yield rows(lines, paths, values, ends)
+                    lines, paths, values, ends = [], [], [], [0]
+            yield rows(lines, paths, values, ends)
+
+    return run
+
+
 def unified_rows(df: DataFrame, changes: DataFrame, step_field: str = "step") -> DataFrame:
     """All readable lines in one table: family, file_name, line_no, step, fields and others.
 
     fields is a map from each leaf's latest name to its value as text: a path that was renamed later, at once or in several
     steps, stands under its last name. Where two paths of a line end in one name, the one that has this name or was renamed
     last gives the value; what the others hold stays in `others`, by their own paths. `unified_table` gives typed columns.
+    Lines stay whole: only the paths of each file, not each line's, meet the renames.
     """
     order = file_order(df)
     renames = changes.filter("change_kind = 'renamed'").join(order, ["family", "file_name"]).select("family", "seq", "field_path", "new_path")
     latest = renames.groupBy("family").applyInPandas(_latest_names, "family string, path string, before_seq int, unified string")
 
-    def cells(batches):
-        for pdf in batches:
-            out = []
-            for family, file, line, body in zip(pdf.family, pdf.file_name, pdf.line_no, pdf.body):
-                obj = readable(body)
-                if obj is not None:
-                    step = None if obj.get(step_field) is None else canonical(obj[step_field])
-                    out += [(family, file, line, step, path, None if v is None else canonical(v)) for path, v in fields_of(obj) if not isinstance(v, dict)]
-            yield pd.DataFrame(out, columns=["family", "file_name", "line_no", "step", "path", "value"])
-
-    long = df.select("family", "file_name", "line_no", "body").filter("file_name is not null").mapInPandas(cells, "family string, file_name string, line_no int, step string, path string, value string")
-    named = long.join(order.select("family", "file_name", "seq"), ["family", "file_name"])
-    hit = named.join(latest, ["family", "path"], "left").withColumn("fits", F.col("before_seq") > F.col("seq"))
-    first = F.min(F.when(F.col("fits"), F.struct("before_seq", "unified")))
-    line = ["family", "file_name", "line_no", "step"]
-    cell = hit.groupBy(*line, "path").agg(first.alias("_f"), F.max("value").alias("value")).withColumn("field", F.coalesce("_f.unified", "path"))
-    newest = F.struct((F.col("path") == F.col("field")).alias("own"), F.coalesce("_f.before_seq", F.lit(0)).alias("seq"), "path")
-    named = cell.groupBy(*line, "field").agg(F.max_by(F.struct("path", "value"), newest).alias("m"), F.collect_list(F.struct("path", "value")).alias("all"))
-    left = F.flatten(F.collect_list(F.filter("all", lambda x: x["path"] != F.col("m.path"))))
-    merged = named.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("field", F.col("m.value").alias("value")))).alias("fields"), F.array_sort(left).alias("others"))
-    return merged.select(*line, F.map_from_entries("fields").alias("fields"), F.map_from_entries("others").alias("others"))
+    line, file = ["family", "file_name", "line_no", "step"], ["family", "file_name"]
+    read = df.select("family", "file_name", "line_no", "body").filter("file_name is not null").mapInArrow(_cells_of(step_field), "family string, file_name string, line_no int, step string, cells array<struct<path string, value string>>")
+    # A line that is repeated with other values keeps the greatest value of each path.
+    several = read.groupBy(*line).agg(F.array_sort(F.flatten(F.collect_list("cells"))).alias("cells"))
+    lines = cut(several.select(*line, F.expr("filter(cells, (x, i) -> i = size(cells) - 1 or x.path <> cells[i + 1].path)").alias("cells")), "lines")
+
+    paths = lines.select(*file, F.explode("cells.path").alias("path")).distinct()
+    hit = paths.join(latest, ["family", "path"]).join(order.select(*file, "seq"), file).filter("before_seq > seq")
+    first = hit.groupBy(*file, "path").agg(F.min(F.struct("before_seq", "unified")).alias("name"))
+    names = first.groupBy(*file).agg(F.map_from_entries(F.collect_list(F.struct("path", "name"))).alias("names"))
+    named = lines.join(names, file, "left").withColumn("named", F.expr("""array_sort(transform(cells, c -> named_struct(
+        'field', coalesce(try_element_at(names, c.path).unified, c.path), 'own', c.path = coalesce(try_element_at(names, c.path).unified, c.path),
+        'seq', coalesce(try_element_at(names, c.path).before_seq, 0), 'path', c.path, 'value', c.value)))"""))
+    last = "i = size(named) - 1 or x.field <> named[i + 1].field"
+    return named.select(
+        *line, F.expr(f"map_from_entries(transform(filter(named, (x, i) -> {last}), x -> struct(x.field, x.value)))").alias("fields"),
+        F.expr(f"map_from_entries(array_sort(transform(filter(named, (x, i) -> not ({last})), x -> struct(x.path, x.value))))").alias("others"),
+    )
 
 
 MAX_FIELDS = 10_000  # fields of a table's schema; more is an error
@@ -436,8 +466,8 @@ def unified_table(rows: DataFrame, family: str | None = None) -> DataFrame:
     schema = sorted(tuple(r) for r in bounded_rows(kinds.groupBy("field").agg(F.array_sort(F.collect_set("kind"))), MAX_FIELDS, "fields of a table"))
     several = [f for f, types in schema if len(types) > 1]
     if several:
-        own = kinds.filter(F.col("field").isin(several) & F.col("kind").isNotNull()).groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("field", "kind"))).alias("_kinds"))
-        mine = mine.join(own, "family", "left")
+        own = kinds.filter(F.col("field").isin(several) & F.col("kind").isNotNull()).groupBy(F.col("family").alias("_family")).agg(F.map_from_entries(F.collect_list(F.struct("field", "kind"))).alias("_kinds"))
+        mine = mine.join(own, F.col("family").eqNullSafe(F.col("_family")), "left")
     first = ["family", "file_name", "line_no", "step", "others"]
     columns, taken = [], set(first)
     for f, types in schema:

@@ -134,6 +134,16 @@ def test_typed_table_keeps_others(spark):
     assert [r["n"] for r in unified_table(rows, "a").collect()] == [1.0]
 
 
+def test_unified_rows_keep_every_line(spark):
+    """Lines without a field, without a family, and repeated with other values."""
+    day = datetime(2024, 1, 1)
+    bodies = [("fam", 1, "{}"), ("fam", 2, '{"sub": {}}'), (None, 3, '{"step": "s", "n": "x"}'), ("fam", 4, '{"n": 1, "a": {"b": 1}, "a.b": 2}'), ("fam", 4, '{"n": 3, "m": null}')]
+    df = spark.createDataFrame([(family, "f", day, n, body) for family, n, body in bodies], "family string, file_name string, recorded_at timestamp_ntz, line_no int, body string")
+    rows = unified_rows(df, schema_changes(df))
+    assert {r.line_no: (r.family, r.fields) for r in rows.collect()} == {1: ("fam", {}), 2: ("fam", {}), 3: (None, {"step": "s", "n": "x"}), 4: ("fam", {"a.b": "2", "n": "3", "m": None})}
+    assert {r["line_no"]: (r["n:double"], r["n:string"]) for r in unified_table(rows).collect()} == {1: (None, None), 2: (None, None), 3: (None, "x"), 4: (3.0, None)}
+
+
 def test_schema_drift_empty_and_nested(spark):
     assert schema_changes(receipts(spark, [])).count() == 0
     deep = "{" + '"a":{' * 3_000 + "}" * 3_001
